@@ -73,7 +73,7 @@ def winnow(word_hashes: Column, k: int, w: int) -> Column:
 def find_leaks(
     docs: DataFrame, items: DataFrame, window: int = 10, k: int = 6, text_col: str = "text", id_col: str = "doc_id", item_id_col: str = "item_id", item_text_col: str = "text"
 ) -> DataFrame:
-    """(doc_id, n_words, item_ids array, spans array<struct<start, len>>) for each document.
+    """(doc_id, tkey, n_words, item_ids array, spans array<struct<start, len>>) for each document.
 
     ``spans`` are the runs of document words that lie in windows of items, in
     order, possibly overlapping between items.
@@ -134,7 +134,7 @@ def find_leaks(
     )
     none = {"item_ids": "cast(array() as array<string>)", "spans": "cast(array() as array<struct<start:int,len:int>>)"}
     out = base.join(found, on("doc_id", "tkey"), "left")
-    return out.select("doc_id", "n_words", *(F.coalesce(c, F.expr(e)).alias(c) for c, e in none.items()))
+    return out.select("doc_id", "tkey", "n_words", *(F.coalesce(c, F.expr(e)).alias(c) for c, e in none.items()))
 
 
 def _runs(same: Column, need: Column, offset: Column) -> Column:
@@ -161,3 +161,10 @@ def covered_words(spans: Column) -> Column:
         F.greatest(a["end"], s["start"] + s["len"]).alias("end"),
     )
     return F.aggregate(spans, F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")), step, lambda a: a["n"].cast("long"))
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` in whose text no window of an item occurs."""
+    bad = find_leaks(docs, items, text_col=text_col, id_col=id_col, **options).filter(F.size("spans") > 0)
+    on = docs[id_col].eqNullSafe(F.col("_id")) & F.xxhash64(docs[text_col]).eqNullSafe(F.col("_tkey"))
+    return docs.join(bad.select(F.col("doc_id").alias("_id"), F.col("tkey").alias("_tkey")), on, "left_anti")

@@ -5,10 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kalendria.llm import decontamination, quality_rules, sharding
+from kalendria.llm import decontamination, language_id, quality_rules, secrets, sentencepiece_codec, sharding, simhash
 from kalendria.llm.support import documents
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(documents(spark, sf_dir))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    names = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("spans", lambda s: s["kind"] != "novel")
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(names(base), 256).alias("base_sha256"),
+        names(F.col("spans")).alias("spans"),
+        count("novel").alias("n_novel"),
+    )
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     hit = decontamination.covered_words(F.col("spans"))
@@ -22,6 +38,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign_shards(documents(spark, sf_dir), shards=24)
     return placed.select(
@@ -35,8 +56,23 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & F.col("passes")).alias("kept"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = language_id.identify(docs, language_id.fit_languages(docs))
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = sentencepiece_codec.encode_pieces(documents(spark, sf_dir))
+    return coded.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", "round_trip")
+
+
 def queries() -> dict:
     return {
+        "op1_secret_scans": op1_secret_scans,
+        "op3_simhash": op3_simhash,
+        "op9_language_id": op9_language_id,
+        "op10_sentencepiece": op10_sentencepiece,
         "op2_decontamination": op2_decontamination,
         "op6_sharding": op6_sharding,
         "op7_quality_rules": op7_quality_rules,

@@ -76,10 +76,10 @@ class SlotMap:
     def rebalance(self, weights: DataFrame, shards: int) -> int:
         """Stores an edited map: slots beyond a shard's even share move, largest first, to the emptiest shard."""
         now = self.read().join(weights.select("vslot", "bytes"), "vslot").withColumn("shard", F.when(F.col("shard") < shards, F.col("shard")))
-        share = now.agg((F.sum("bytes") / shards).alias("share"))
+        share = (weights.agg(F.sum("bytes")).first()[0] or 0) / shards
         upto = Window.partitionBy("shard").orderBy(F.desc("bytes"), "vslot").rowsBetween(Window.unboundedPreceding, 0)
-        filled = now.withColumn("upto", F.sum("bytes").over(upto)).join(F.broadcast(share))
-        marked = filled.withColumn("stays", F.col("shard").isNotNull() & (F.col("upto") <= F.col("share")))
+        filled = now.withColumn("upto", F.sum("bytes").over(upto))
+        marked = filled.withColumn("stays", F.col("shard").isNotNull() & (F.col("upto") <= share))
         # one row of `slots` entries: the fold below is a bounded greedy packing
         one = marked.agg(
             F.collect_list(F.when(F.col("stays"), F.struct("shard", "bytes"))).alias("kept"),
