@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kalendria.llm import decontamination, language_id, quality_rules, secrets, sentencepiece_codec, sharding, simhash
-from kalendria.llm.support import documents
+from kalendria.llm import decontamination, language_id, license_scans, quality_rules, repeats, secrets, sentencepiece_codec, sharding, simhash, token_rollups
+from kalendria.llm.support import documents, staged
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +43,25 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents arrive with an estimate, are counted, and those labelled toxic retired; both first batches come twice."""
+    version = "byte_bpe_50k/1"
+    counts = staged(token_rollups.count_tokens(documents(spark, sf_dir)).withColumn("estimate", F.ceil(F.col("n_bytes") / 4)))
+    toxic = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("toxic = 1").select("doc_id").distinct()
+    rollup = token_rollups.Rollup(spark)
+    for _ in range(2):
+        rollup.commit("arrivals", token_rollups.inserted(counts, version, "estimate"))
+        rollup.commit("counted", token_rollups.revised(counts, version, "estimate", "n_tokens"))
+    rollup.commit("retired", token_rollups.deleted(counts.join(toxic, "doc_id", "left_semi"), version))
+    return rollup.totals()
+
+
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scans.scan_licenses(documents(spark, sf_dir))
+    best = F.get("matches", F.lit(0))
+    return found.select("doc_id", best["license"].alias("license"), F.round(best["score"], 6).alias("score"), F.size("matches").cast("long").alias("n_units"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign_shards(documents(spark, sf_dir), shards=24)
     return placed.select(
@@ -56,6 +75,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & F.col("passes")).alias("kept"))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.find_repeats(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.aggregate("spans", F.lit(0), lambda a, s: a + s["end"] - s["start"]).cast("long").alias("n_repeat_words"),
+        F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("spans"),
+    )
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = language_id.identify(docs, language_id.fit_languages(docs))
@@ -71,6 +100,9 @@ def queries() -> dict:
     return {
         "op1_secret_scans": op1_secret_scans,
         "op3_simhash": op3_simhash,
+        "op4_token_rollups": op4_token_rollups,
+        "op5_license_scans": op5_license_scans,
+        "op8_repeats": op8_repeats,
         "op9_language_id": op9_language_id,
         "op10_sentencepiece": op10_sentencepiece,
         "op2_decontamination": op2_decontamination,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from kalendria.llm.license_scans import TEMPLATES, THRESHOLD
 from kalendria.llm.quality_rules import STOP_WORDS
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -62,5 +63,41 @@ FROM f
 """
 
 
+OP8 = rf"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{TOKEN}') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS g FROM t, unnest(generate_series(1, len(w) - 49)) AS u(i) WHERE len(w) >= 50
+), twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY g) AS c FROM win) WHERE c > 1),
+p AS (SELECT DISTINCT doc_id, i + j AS p FROM twice, unnest(generate_series(0, 49)) AS u(j)),
+isl AS (SELECT doc_id, p, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS k FROM p),
+runs AS (SELECT doc_id, min(p) - 1 AS s, max(p) AS e FROM isl GROUP BY doc_id, k),
+agg AS (SELECT doc_id, sum(e - s)::BIGINT AS n, string_agg(s || ':' || e, ',' ORDER BY s) AS spans FROM runs GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_repeat_words, coalesce(spans, '') AS spans FROM t LEFT JOIN agg USING (doc_id)
+"""
+
+_VALUES = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, ts in sorted(TEMPLATES.items()) for t in ts)
+_NORMAL = f"string_split(trim(regexp_replace({LOWER.format('{}')}, '[^a-z0-9]+', ' ', 'g')), ' ')"
+_BIGRAMS = "list_distinct([{0}[i] || ' ' || {0}[i + 1] for i in generate_series(1, len({0}) - 1)])"
+
+OP5 = rf"""
+WITH tpl AS (SELECT name, {_BIGRAMS.format("w")} AS b FROM (SELECT name, {_NORMAL.format("body")} AS w FROM (VALUES {_VALUES}) AS v(name, body))),
+units AS (
+  SELECT DISTINCT doc_id, {_NORMAL.format("u")} AS w FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS u FROM documents
+    UNION ALL SELECT doc_id, unnest(string_split_regex(text, '\n[ \t\v\f\r]*\n')) FROM documents
+    UNION ALL SELECT doc_id, text FROM documents) WHERE u IS NOT NULL
+), ub AS (SELECT doc_id, w, {_BIGRAMS.format("w")} AS b FROM units WHERE len(w) > 1 AND len(w) < 400),
+m AS (
+  SELECT doc_id, w, name, 2 * len(list_intersect(ub.b, tpl.b)) / (len(ub.b) + len(tpl.b)) AS score
+  FROM ub JOIN tpl ON len(ub.b) >= len(tpl.b) * ({THRESHOLD} / (2 - {THRESHOLD}) - 1e-9) AND len(ub.b) * ({THRESHOLD} / (2 - {THRESHOLD}) - 1e-9) <= len(tpl.b)
+), best AS (
+  SELECT doc_id, w, name, score FROM m WHERE score >= {THRESHOLD} QUALIFY row_number() OVER (PARTITION BY doc_id, w ORDER BY score DESC, name) = 1
+), agg AS (
+  SELECT doc_id, first(name ORDER BY score DESC, name) AS license, max(score) AS score, count(*) AS n FROM best GROUP BY doc_id
+)
+SELECT d.doc_id, license, round(score, 6) AS score, coalesce(n, 0)::BIGINT AS n_units FROM documents d LEFT JOIN agg USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2, "op7_quality_rules": OP7}
+    return {"op2_decontamination": OP2, "op5_license_scans": OP5, "op7_quality_rules": OP7, "op8_repeats": OP8}
