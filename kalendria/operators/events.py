@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kalendria.functions import dates, text
+from kalendria.plans.ranking import numbered
 
 
 def live(events: DataFrame) -> DataFrame:
@@ -77,12 +78,12 @@ def upcoming_ranked(events: DataFrame, start: str, as_of: Column, ordinal: str,
     """Rows not yet past, earliest first, unknown last, ties in input order."""
     up = events.filter(F.col(start).isNull() | (F.col(start) >= as_of))
     far = F.coalesce(F.col(start), F.lit("9999-12-31").cast("date"))
-    return up.withColumn("rank", F.row_number().over(Window.partitionBy(*(by or [])).orderBy(far, ordinal)))
+    return numbered(up.withColumn("_far", far), by or [], [F.asc("_far"), F.asc(ordinal)]).drop("_far")
 
 
 def past_ranked(events: DataFrame, start: str, as_of: Column, ordinal: str, by: list[str] | None = None) -> DataFrame:
     """Past rows, latest first, ties in input order."""
-    return events.filter(F.col(start) < as_of).withColumn("rank", F.row_number().over(Window.partitionBy(*(by or [])).orderBy(F.desc(start), ordinal)))
+    return numbered(events.filter(F.col(start) < as_of), by or [], [F.desc(start), F.asc(ordinal)])
 
 
 def best_confidence(events: DataFrame, runs: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kalendria.functions.text import canonical_url, host
+from kalendria.plans.ranking import numbered
 
 TIERS = (1, 2, 3, 4)
 GATE = "30 days"
@@ -41,8 +42,8 @@ def jobs(requests: DataFrame, gate: bool = True, ttl: str = GATE) -> DataFrame:
 
 
 def pop_order(queue: DataFrame) -> DataFrame:
-    """Every job's place in its tier: by score, ties by job id. A tier is one sorted queue, so its places are one window."""
-    return queue.withColumn("pop", F.row_number().over(Window.partitionBy("tier").orderBy("score", "job_id")))
+    """Every job's place in its tier: by score, ties by job id. A tier may hold all jobs, so places are counted over ranges."""
+    return numbered(queue, ["tier"], [F.asc("score"), F.asc("job_id")], "pop")
 
 
 def pop(queue: DataFrame, tier: int, n: int, at: Column, lease_seconds: int = 600) -> DataFrame:
