@@ -76,7 +76,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = repeats.find_repeats(documents(spark, sf_dir))
+    """The documents that hold a passage of 50 words or more found elsewhere too, and where in them it stands."""
+    found = repeats.find_repeats(documents(spark, sf_dir)).filter(F.size("spans") > 0)
     return found.select(
         "doc_id",
         "n_words",

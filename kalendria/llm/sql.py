@@ -72,7 +72,7 @@ p AS (SELECT DISTINCT doc_id, i + j AS p FROM twice, unnest(generate_series(0, 4
 isl AS (SELECT doc_id, p, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS k FROM p),
 runs AS (SELECT doc_id, min(p) - 1 AS s, max(p) AS e FROM isl GROUP BY doc_id, k),
 agg AS (SELECT doc_id, sum(e - s)::BIGINT AS n, string_agg(s || ':' || e, ',' ORDER BY s) AS spans FROM runs GROUP BY doc_id)
-SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_repeat_words, coalesce(spans, '') AS spans FROM t LEFT JOIN agg USING (doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, n AS n_repeat_words, spans FROM t JOIN agg USING (doc_id)
 """
 
 _VALUES = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, ts in sorted(TEMPLATES.items()) for t in ts)
