@@ -29,16 +29,25 @@ def jobs(requests: DataFrame, gate: bool = True, ttl: str = GATE) -> DataFrame:
     rows = rows.withColumn("job_id", F.substring(F.sha2("canonical", 256), 1, 32)).withColumn("score", score(F.col("priority"), F.col("ts")))
     if not gate:
         return rows
-    # each gate opens at the first request and again after ttl: fold the times of one job in order
-    times = rows.groupBy("job_id").agg(F.array_sort(F.collect_set("ts")).alias("ts_all"))
-    opens = F.aggregate(
-        "ts_all",
-        F.expr("cast(array() as array<timestamp>)"),
-        lambda a, t: F.when((F.size(a) == 0) | (t >= F.try_element_at(a, F.lit(-1)) + F.expr(f"interval {ttl}")), F.concat(a, F.array(t))).otherwise(a),
-    )
-    passed = times.select("job_id", F.explode(opens).alias("ts"))
-    first = F.row_number().over(Window.partitionBy("job_id", "ts").orderBy("score", "url"))
-    return rows.join(passed, ["job_id", "ts"], "left_semi").withColumn("_n", first).filter("_n = 1").drop("_n")
+    timed = rows.withColumn("_t", F.unix_millis("ts"))
+    passed = _opened(timed, "job_id", "_t", F.expr(f"unix_millis(timestamp_seconds(0) + interval {ttl})"))
+    first = F.row_number().over(Window.partitionBy("job_id", "_t").orderBy("ts", "score", "url"))
+    return timed.join(passed, ["job_id", "_t"], "left_semi").withColumn("_n", first).filter("_n = 1").drop("_n", "_t")
+
+
+def _opened(rows: DataFrame, key: str, t: str, step: Column) -> DataFrame:
+    """(key, t) at which a gate opens: first, and then not until ``step`` after it last did.
+
+    A request that comes ``step`` or more after the one before always passes, so
+    the times fall into bursts between such gaps, and only a burst is folded.
+    """
+    w = Window.partitionBy(key).orderBy(t)
+    gap = F.coalesce(F.col(t) - F.lag(t).over(w) >= step, F.lit(True))
+    bursts = rows.select(key, t).distinct().withColumn("_gap", gap.cast("int")).withColumn("_burst", F.sum("_gap").over(w))
+    times = bursts.groupBy(key, "_burst").agg(F.array_sort(F.collect_list(t)).alias("all"), F.first(step).alias("_step"))
+    none = F.expr("cast(array() as array<bigint>)")
+    opens = F.aggregate("all", none, lambda a, x: F.when((F.size(a) == 0) | (x >= F.try_element_at(a, F.lit(-1)) + F.col("_step")), F.concat(a, F.array(x))).otherwise(a))
+    return times.select(key, F.explode(opens).alias(t))
 
 
 def pop_order(queue: DataFrame) -> DataFrame:
@@ -95,10 +104,7 @@ def rate_gate(requests: DataFrame, seconds: float) -> DataFrame:
     """``allowed`` for each request: a host passes once, then not again until ``seconds`` after that pass."""
     w = Window.partitionBy("host").orderBy("ts", "seq")
     order = requests.withColumn("host", host(F.col("url"))).withColumn("_t", F.unix_millis("ts"))
-    folded = order.groupBy("host").agg(F.array_sort(F.collect_set("_t")).alias("all"))
-    step = int(seconds * 1000)
-    passes = F.aggregate("all", F.expr("cast(array() as array<bigint>)"), lambda a, t: F.when((F.size(a) == 0) | (t >= F.try_element_at(a, F.lit(-1)) + step), F.concat(a, F.array(t))).otherwise(a))
-    gates = folded.select("host", F.explode(passes).alias("_t"), F.lit(True).alias("_open"))
+    gates = _opened(order, "host", "_t", F.lit(int(seconds * 1000))).withColumn("_open", F.lit(True))
     first = F.row_number().over(Window.partitionBy("host", "_t").orderBy("seq")) == 1
     return order.join(gates, ["host", "_t"], "left").withColumn("allowed", F.coalesce(F.col("_open") & first, F.lit(False))).withColumn("gap_ms", F.col("_t") - F.lag("_t").over(w)).drop("_open", "_t")
 
