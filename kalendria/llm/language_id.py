@@ -5,8 +5,8 @@ space, give hashed byte trigrams and 4-grams. Linear support vector machines
 (squared hinge, fitted here) first choose the language family, one against one;
 then, inside the family, one-against-one machines tell its languages apart.
 
-Fitting uses at most ``PER_LANGUAGE`` labelled rows of each language, drawn by a
-hash of the id; prediction reads every row and the whole text. The model is a
+Fitting uses at most ``PER_LANGUAGE`` labelled rows of each language and of
+``LONGEST`` characters, drawn by a hash of the id; prediction reads every row and the whole text. The model is a
 small matrix that travels with the task; nothing is shuffled but the counts of
 labels.
 
@@ -36,8 +36,8 @@ FAMILIES = {
 }
 
 UNKNOWN = "und"
-#: Labelled rows of a language used for fitting, at most.
-PER_LANGUAGE = 400
+#: Labelled rows of a language used for fitting, at most, and their length in characters: so much of the corpus reaches the driver.
+PER_LANGUAGE, LONGEST = 400, 200_000
 BUCKETS = 1 << 14
 LETTER = regex.compile(r"\p{L}")
 #: Bytes: ASCII letters to lower case, other ASCII to space, the rest as they are.
@@ -149,7 +149,7 @@ def held_out(id_col: Column) -> Column:
 def fit_languages(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", lang_col: str = "lang", per_language: int = PER_LANGUAGE, families: dict | None = None) -> LanguageModel:
     """A model of the labelled rows outside the held-out quarter; at most ``per_language`` rows of each language."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
+        F.col("lang").isNotNull() & (F.length("text") <= LONGEST) & ~held_out(F.col("doc_id"))
     )
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     langs = sorted(counts)
