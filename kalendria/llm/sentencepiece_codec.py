@@ -35,7 +35,7 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 #: How far the score of a byte is below the least score of a piece, and words kept by a worker's cache.
 BYTE_PENALTY = 10.0
-CACHE = 200_000
+CACHE = 400_000
 #: Blanks and the word behind them.
 CHUNK = regex.compile(r"▁+[^▁]*|[^▁]+")
 
@@ -46,8 +46,9 @@ class PieceCodec:
     def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int]):
         if any(BLANK in p.lstrip(BLANK) for p in pieces):
             raise ValueError("a piece has a blank after another character: words can't be encoded apart")
-        self.byte_ids, self.byte_of = byte_ids, {i: b for b, i in enumerate(byte_ids)}
-        self.piece_of = {i: p for p, (i, _) in pieces.items()}
+        self.byte_ids = byte_ids
+        self.raw = {i: p.replace(BLANK, " ").encode() for p, (i, _) in pieces.items()} | {i: bytes([b]) for b, i in enumerate(byte_ids)}
+        self.joins = {p[i : i + 2] for p in pieces for i in range(len(p) - 1)}
         self.byte_score = min((score for _, score in pieces.values()), default=0.0) - BYTE_PENALTY
         self.automaton = ahocorasick.Automaton()
         for p, (i, score) in pieces.items():
@@ -70,33 +71,52 @@ class PieceCodec:
 
     def viterbi(self, chunk: str) -> tuple[int, ...]:
         """Ids of the best segmentation of one blank-led word."""
-        n = len(chunk)
-        best, back = [0.0] + [None] * n, [None] * (n + 1)
-        done = 0
-
-        def by_bytes(upto: int) -> None:
-            nonlocal done
-            for at in range(done, upto):  # a position that no piece has reached is reached by bytes
-                raw = chunk[at].encode()
-                score = best[at] + self.byte_score * len(raw)
-                if best[at + 1] is None or score > best[at + 1]:
-                    best[at + 1], back[at + 1] = score, (at, tuple(self.byte_ids[c] for c in raw))
-            done = max(done, upto)
-
+        n, unreached = len(chunk), -float("inf")
+        best, size_of, piece_of = [0.0] + [unreached] * n, [1] * (n + 1), [-1] * (n + 1)
+        byte_score, done = self.byte_score, 0
         # matches come by end, longest first: all starts are settled by then
         for end, (size, piece, score) in self.automaton.iter(chunk):
-            if end > done:
-                by_bytes(end)
+            while done < end:  # a character may go as bytes wherever that scores better
+                raw = byte_score if chunk[done] < "\x80" else byte_score * len(chunk[done].encode())
+                done += 1
+                if best[done - 1] + raw > best[done]:
+                    best[done], size_of[done], piece_of[done] = best[done - 1] + raw, 1, -1
             s = best[end + 1 - size] + score
-            if best[end + 1] is None or s > best[end + 1]:
-                best[end + 1], back[end + 1] = s, (end + 1 - size, (piece,))
-        by_bytes(n)
-        out: list[tuple[int, ...]] = []
-        at = n
-        while at:
-            at, ids = back[at]
-            out.append(ids)
-        return tuple(i for ids in reversed(out) for i in ids)
+            if s > best[end + 1]:
+                best[end + 1], size_of[end + 1], piece_of[end + 1] = s, size, piece
+        for done in range(done + 1, n + 1):
+            raw = byte_score * len(chunk[done - 1].encode())
+            if best[done - 1] + raw > best[done]:
+                best[done], size_of[done], piece_of[done] = best[done - 1] + raw, 1, -1
+        out: list[int] = []
+        while n:
+            if piece_of[n] >= 0:
+                out.append(piece_of[n])
+            else:
+                out.extend(self.byte_ids[c] for c in reversed(chunk[n - 1].encode()))
+            n -= size_of[n]
+        out.reverse()
+        return tuple(out)
+
+    def segment(self, chunk: str) -> tuple[int, ...]:
+        """As :meth:`viterbi`, in parts: no piece spans two characters that stand side by side in no piece."""
+        joins, cache = self.joins, self.cache
+        cuts = [i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in joins]
+        out: tuple[int, ...] = ()
+        for a, b in zip([0, *cuts], [*cuts, len(chunk)], strict=True):
+            part = chunk[a:b]
+            ids = cache.get(part)
+            if ids is None:
+                ids = self.keep(part, self.viterbi(part))
+            out += ids
+        return self.keep(chunk, out) if cuts else out
+
+    def keep(self, chunk: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+        if len(chunk) <= 64:
+            if len(self.cache) >= CACHE:
+                self.cache.clear()
+            self.cache[chunk] = ids
+        return ids
 
     def encode(self, text: str) -> list[int]:
         if not text:
@@ -109,18 +129,11 @@ class PieceCodec:
                 out.extend(self.byte_ids[c] for c in BLANK.encode())
             for chunk in CHUNK.findall(("" if k else BLANK) + part.replace(" ", BLANK)):
                 ids = cache.get(chunk)
-                if ids is None:
-                    ids = self.viterbi(chunk)
-                    if len(chunk) <= 64:
-                        if len(cache) >= CACHE:
-                            cache.clear()
-                        cache[chunk] = ids
-                out.extend(ids)
+                out.extend(self.segment(chunk) if ids is None else ids)
         return out
 
     def decode(self, ids: list[int]) -> str:
-        raw = b"".join(bytes([self.byte_of[i]]) if i in self.byte_of else self.piece_of[i].replace(BLANK, " ").encode() for i in ids)
-        text = raw.decode()
+        text = b"".join(map(self.raw.__getitem__, ids)).decode()
         return text[1:] if text.startswith(" ") else text
 
 
@@ -139,9 +152,10 @@ def encode_pieces(docs: DataFrame, model_path: str = DEFAULT_MODEL, text_col: st
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
                 texts = part.column(1).to_pylist()
-                ids = [None if t is None else np.array(c.encode(t), np.int32) for t in texts]
-                same = [None if t is None or not check else c.decode(i.tolist()) == t for t, i in zip(texts, ids, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())], ["doc_id", "pieces", "round_trip"])
+                ids = [None if t is None else c.encode(t) for t in texts]
+                same = [None if t is None or not check else c.decode(i) == t for t, i in zip(texts, ids, strict=True)]
+                packed = pa.array([None if i is None else np.array(i, np.int32) for i in ids], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column(0), packed, pa.array(same, pa.bool_())], ["doc_id", "pieces", "round_trip"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, pieces array<int>, round_trip boolean")
