@@ -426,8 +426,8 @@ def document_flags(spark, d):
 )
 def document_hints(spark, d):
     t = F.col("text")
-    plain = table(spark, d, "documents").filter(~t.rlike(r"[^\x00-\x7F]"))  # word boundaries of the two engines agree on ASCII
-    return plain.select("doc_id", text.text_hash(t).alias("text_hash"), text.count_tokens(t).alias("tokens"), text.acronym_hint(t).alias("acronym"), text.name_hint(t).alias("name"))
+    # over all texts; the SQL covers those of ASCII alone, where the word boundaries of the two engines agree
+    return table(spark, d, "documents").select("doc_id", text.text_hash(t).alias("text_hash"), text.count_tokens(t).alias("tokens"), text.acronym_hint(t).alias("acronym"), text.name_hint(t).alias("name"))
 
 
 PLACES = ["Zurich, Switzerland", "London, UK", "Paris, France", "Austin, TX, USA", "Mumbai, India", "New Delhi, India", "Online", "Singapore", "San Bernardino", "", "Goa and Navi Mumbai, India", "Jerome, AZ, here", "Dresden, Germany", "Hong Kong, China"]
