@@ -16,6 +16,7 @@ from kalendria.functions import dates, jsonx, location, text, vectors
 from kalendria.functions import wordlists as W
 from kalendria.operators import cascade, dedup, graph, knn, queue, reports, upsert
 from kalendria.operators import events as ev
+from kalendria.plans import scratch
 from kalendria.sources import pages
 from kalendria.streaming import windows
 
@@ -619,7 +620,7 @@ def best_neighbour_verdict(spark, d):
 
 def sweep_pairs(spark, d):
     near = knn.self_neighbours(vecs(spark, d), 5, GREY).select(F.col("id").alias("a"), F.col("neighbour_id").alias("b"), "cosine")
-    return dedup.united_pairs(near, dedup.acronym_pairs(part_acronyms(spark, d).filter("event_id < 500")))
+    return dedup.united_pairs(near, dedup.acronym_pairs(part_acronyms(spark, d)))
 
 
 PAIRS = f"""{NEAR}, {BLOCKED}, top AS (SELECT least(id, n) AS a, greatest(id, n) AS b, c FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY c DESC, n) AS r FROM near WHERE c >= {GREY}) WHERE r <= 5),
@@ -633,8 +634,10 @@ def pair_union_flags(spark, d):
 
 @query("sweep_verdicts")
 def sweep_verdicts(spark, d):
-    ids = spark.range(0, 2000).select(F.col("id").alias("event_id"), F.lit(0.5).alias("confidence"), F.timestamp_seconds(F.col("id") % 17).alias("scraped_at"))
-    return dedup.sweep(sweep_pairs(spark, d), ids, MERGE, GREY)
+    pairs = scratch.table(sweep_pairs(spark, d))
+    met = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    ids = met.select(F.col("id").alias("event_id"), F.lit(0.5).alias("confidence"), F.timestamp_seconds(F.col("id") % 17).alias("scraped_at"))
+    return dedup.sweep(pairs, ids, MERGE, GREY)
 
 
 @query("lsh_pairs")
