@@ -1,9 +1,9 @@
 """Exact nearest neighbours by cosine, and an approximate pre-selection for large tables.
 
-Query sets are stated and bounded: they are sent to the rows. A self join deals
-rows into blocks and compares pairs of blocks as matrices, each in a task of its
-own; a pair of blocks gives at most k rows a vector, so neither memory nor output
-grows with the square of the table.
+A search for one vector sends it to the rows. Query sets and self joins deal rows
+into blocks and compare pairs of blocks as matrices, each in a task of its own; a
+pair of blocks gives at most k rows a vector, so neither memory nor output grows
+with the square of the table.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from kalendria.functions import vectors
 
-#: Rows of a block of the self join.
+#: Rows of a block of query sets and self joins.
 BLOCK = 2048
 
 
@@ -36,27 +36,36 @@ def verdict(cosine: Column, merge: float = 0.97, grey: float = 0.92) -> Column:
     return F.when(cosine >= merge, "duplicate").when(cosine >= grey, "pending").otherwise("new")
 
 
-def best_neighbour(queries: DataFrame, rows: DataFrame, n_queries_max: int = 4096, id_col: str = "event_id", vec_col: str = "vec") -> DataFrame:
-    """(query_id, neighbour_id, cosine): for each of a bounded set of queries its nearest other row."""
-    asked = queries.select(F.col(id_col).alias("q"), F.transform(vec_col, lambda x: x.cast("double")).alias("v")).limit(n_queries_max + 1).collect()
-    if len(asked) > n_queries_max:
-        raise ValueError("more queries than one block: use self_neighbours")
-    ids = np.array([r["q"] for r in asked])
-    mat = _units(np.array([r["v"] for r in asked], dtype=np.float64)) if len(asked) else np.zeros((0, 1))
-
-    def scan(batches):
-        for b in batches:
-            if not b.num_rows or not len(ids):
-                continue
-            own = b.column(0).to_numpy(zero_copy_only=False)
-            cos = np.nan_to_num(mat @ _units(_matrix(b.column(1))).T, nan=-np.inf)
-            cos[ids[:, None] == own[None, :]] = -np.inf
-            at = np.argmax(cos, axis=1)
-            best = cos[np.arange(len(ids)), at]
-            ok = np.isfinite(best)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[ok]), pa.array(own[at][ok]), pa.array(best[ok])], ["query_id", "neighbour_id", "cosine"])
-
-    found = rows.select(F.col(id_col), F.col(vec_col)).mapInArrow(scan, "query_id bigint, neighbour_id bigint, cosine double")
+def best_neighbour(queries: DataFrame, rows: DataFrame, id_col: str = "event_id", vec_col: str = "vec", block: int = BLOCK) -> DataFrame:
+    """(query_id, neighbour_id, cosine): for each query its nearest other row.
+
+    Both sides are dealt into blocks; every block of queries meets every block of rows in a task of its own.
+    """
+    many_q, many_r = (max(1, math.ceil(x.count() / block)) for x in (queries, rows))
+
+    def dealt(df: DataFrame, asked: bool, own: int, other: int) -> DataFrame:
+        mine = F.pmod(F.xxhash64(id_col), F.lit(own)).cast("int")
+        each = F.explode(F.sequence(F.lit(0), F.lit(other - 1)))
+        names = ("q", "r") if asked else ("r", "q")
+        return df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"), F.lit(asked).alias("asked"), mine.alias(names[0]), each.alias(names[1]))
+
+    tasks = dealt(queries, True, many_q, many_r).unionByName(dealt(rows, False, many_r, many_q))
+
+    def scan(key, table):
+        asked = table.column("asked").to_numpy(zero_copy_only=False).astype(bool)
+        ids, m = table.column("id").to_numpy(), _units(_matrix(table.column("vec")))
+        q, r = np.flatnonzero(asked), np.flatnonzero(~asked)
+        r = r[np.argsort(ids[r], kind="stable")]  # of equal cosines the least id comes first
+        if not len(q) or not len(r):
+            return pa.table({"query_id": np.zeros(0, np.int64), "neighbour_id": np.zeros(0, np.int64), "cosine": np.zeros(0)})
+        cos = np.nan_to_num(m[q] @ m[r].T, nan=-np.inf)
+        cos[ids[q][:, None] == ids[r][None, :]] = -np.inf
+        at = np.argmax(cos, axis=1)
+        best = cos[np.arange(len(q)), at]
+        ok = np.isfinite(best)
+        return pa.table({"query_id": ids[q][ok].astype(np.int64), "neighbour_id": ids[r][at][ok].astype(np.int64), "cosine": best[ok]})
+
+    found = tasks.groupBy("q", "r").applyInArrow(scan, "query_id bigint, neighbour_id bigint, cosine double")
     return found.groupBy("query_id").agg(F.max_by("neighbour_id", F.struct("cosine", -F.col("neighbour_id"))).alias("neighbour_id"), F.max("cosine").alias("cosine"))
 
 
