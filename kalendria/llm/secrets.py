@@ -17,7 +17,9 @@ pass through :func:`redact_secrets`; very long texts are scanned whole.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -49,12 +51,15 @@ IDENTIFIERS = (
 ).encode()
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+BEGIN, RUN = re.compile(r"[A-Za-z0-9+/_=-]"), re.compile(r"[A-Za-z0-9+/_=-]+")
+#: Characters from which zstandard codes literals by their frequency.
+CODED = 64
 SENSITIVE_RE = re.compile("|".join(map(re.escape, SENSITIVE)), re.IGNORECASE | re.ASCII)
 #: Code points after a sensitive word in which a candidate may begin.
 REACH = 48
 #: Code points of surrounding text on either side that prime the compressor.
 AROUND = 256
-#: Added bytes a character from which a candidate is reported.
+#: Added bytes from which a candidate is reported, as a share of what its characters cost at least without any repeat.
 NOVELTY = 0.75
 
 
@@ -72,6 +77,14 @@ class Novelty:
         return max(0, len(pack(text[start:end].encode())) - len(pack(b"")))
 
 
+def least_bytes(token: str) -> float:
+    """Bytes of a token that repeats nothing: one a character, or the entropy of its own characters where they are coded."""
+    n = len(token)
+    if n < CODED:
+        return n
+    return sum(k * math.log2(n / k) for k in Counter(token).values()) / 8
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the three base patterns, leftmost and not overlapping within a kind."""
     found = []
@@ -93,18 +106,19 @@ def novel_spans(text: str, known: list[tuple[int, int, str]], meter: Novelty, th
     out, last = [], -1
     for word in SENSITIVE_RE.finditer(text):
         at = word.end()
-        while (m := CANDIDATE.search(text, max(at, last), min(len(text), at + REACH))) is not None:
-            whole = CANDIDATE.match(text, m.start())
-            start, end = whole.start(), whole.end()
+        # a candidate begins within REACH and ends where its run ends
+        while (m := BEGIN.search(text, max(at, last), at + REACH)) is not None:
+            if (whole := CANDIDATE.match(text, m.start())) is None:
+                last = RUN.match(text, m.start()).end()
+                continue
+            start, end = whole.span()
             last = end
             token = text[start:end]
             mixed = any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
             if mixed and not any(start < e and s < end for s, e, *_ in known):
                 cost = meter.marginal(text, start, end)
-                if cost >= threshold * (end - start):
+                if cost >= threshold * least_bytes(token):
                     out.append((start, end, "novel", cost))
-            if end >= at + REACH:
-                break
     return out
 
 
