@@ -38,7 +38,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kalendria.llm.support import drop, staged
+from kalendria.llm.support import broadcast_if_small, drop, staged
+from kalendria.plans import components as plans
 
 SEED = 42
 #: Fingerprints the tree is fitted on, at most; all are indexed.
@@ -48,6 +49,8 @@ LEAF, BLOCK = 16_384, 262_144
 #: Comparisons below which a block is done outright.
 OUTRIGHT = 1 << 16
 SLICE = 1 << 16
+#: Rows up to which the keys of documents that go are broadcast.
+BROADCAST_ROWS = 100_000
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -237,47 +240,45 @@ def link_edges(nodes: DataFrame, n: int, radius: int) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(fp, root) for every end of an edge: the least fingerprint of its component.
-
-    Least-label propagation with pointer jumping; it runs until no label moves.
-    """
-    both = staged(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = staged(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("fp"), F.least("a", "m").alias("root")))
-    while True:
-        seen = both.join(labels.withColumnRenamed("fp", "b"), "b").groupBy("a").agg(F.min("root").alias("m"))
-        lower = labels.join(seen, labels["fp"] == seen["a"]).select("fp", "root", F.least("root", "m").alias("low"))
-        jump = labels.select(F.col("fp").alias("low"), F.col("root").alias("far"))
-        stepped = staged(lower.join(jump, "low", "left").select("fp", F.least("low", F.coalesce("far", "low")).alias("new"), "root"))
-        moved = stepped.filter(F.col("new") < F.col("root")).limit(1).count()
-        drop(labels)
-        labels = stepped.select("fp", F.col("new").alias("root"))
-        labels._kalendria_path = stepped._kalendria_path
-        if not moved:
-            drop(both)
-            return labels
+    """(fp, root) for every end of an edge: the least fingerprint of its component."""
+    return plans.components(edges).withColumnRenamed("id", "fp")
 
 
 def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 4, radius: int = 4) -> DataFrame:
-    """(doc_id, tkey, fp, component_id) for each row of ``docs``."""
+    """(doc_id, tkey, fp, component_id, who) for each row of ``docs``.
+
+    ``who`` (absent, doc_id, tkey) is the row that stands for the component, the
+    same for all its members: one of least id, and among them of least text hash.
+    """
     prints = staged(fingerprints(docs, text_col, id_col, shingle))
-    nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    n = nodes.count()
-    edges = staged(link_edges(nodes, n, radius))
-    if edges.isEmpty():
-        named = nodes.select(F.col("fp").alias("_fp"), F.col("rep").alias("component_id"))
-    else:
-        rooted = nodes.join(components(edges), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-        least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-        named = staged(rooted.join(least, "root").select(F.col("fp").alias("_fp"), "component_id"))
-    return prints.join(named, F.col("fp") == F.col("_fp"), "left").select("doc_id", "tkey", "fp", "component_id")
+    nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "tkey")).alias("who")))
+    edges = staged(link_edges(nodes, nodes.count(), radius))
+    rooted = nodes.join(components(edges), "fp", "left").select("fp", "rep", "who", F.coalesce("root", "fp").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"), F.min("who").alias("who"))
+    named = staged(rooted.drop("rep", "who").join(least, "root").select("fp", "component_id", "who"))
+    drop(nodes, edges)
+    return prints.join(named, "fp", "left").select("doc_id", "tkey", "fp", "component_id", "who")
 
 
-def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 4, radius: int = 4) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, each (id, text) once.
+def one_a_group(docs: DataFrame, found: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """The rows of ``docs`` that stand for their groups in ``found`` (doc_id, tkey, who), each (id, text) once.
 
-    Documents without an id can't name a group; they stay where no member of their group has one.
+    Only rows that go, and those of an (id, text) that repeats, are named in the
+    joins with the texts; they are broadcast where few. Of rows that repeat an id
+    and a text the one whose columns sort first as JSON stays.
     """
-    found = near_duplicates(docs, text_col, id_col, shingle, radius)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"), F.col("tkey").alias("_tkey"))
+    stands = F.col("doc_id").eqNullSafe(F.col("who.doc_id")) & (F.coalesce("tkey", F.lit(0)) == F.coalesce("who.tkey", F.lit(0)))
+    named = found.groupBy(F.col("doc_id").alias("_id"), F.col("tkey").alias("_tkey")).agg(F.count(F.lit(1)).alias("_n"), F.bool_or(stands).alias("_stays"))
+    odd = staged(named.filter(~F.col("_stays") | (F.col("_n") > 1)))
+    twice = odd.filter("_stays")
     on = docs[id_col].eqNullSafe(F.col("_id")) & F.xxhash64(docs[text_col]).eqNullSafe(F.col("_tkey"))
-    return docs.join(kept, on, "left_semi").dropDuplicates([id_col, text_col])
+    plain = docs.join(broadcast_if_small(odd, odd.count(), BROADCAST_ROWS), on, "left_anti")
+    again = docs.join(broadcast_if_small(twice, twice.count(), BROADCAST_ROWS), on, "left_semi")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    first = again.groupBy(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).agg(F.min_by(row, F.to_json(row)).alias("_row"))
+    return plain.unionByName(first.select("_row.*"))
+
+
+def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 4, radius: int = 4) -> DataFrame:
+    """One row of each group of ``docs``: the one of least id (rows without an id only where no member has one)."""
+    return one_a_group(docs, near_duplicates(docs, text_col, id_col, shingle, radius), text_col, id_col)

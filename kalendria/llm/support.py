@@ -2,56 +2,20 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Only where the session names no shared folder, as in tests.
-FALLBACK_DIR = "/tmp/checkpoints"
+from kalendria.plans.scratch import drop, hadoop_path
+from kalendria.plans.scratch import folder as scratch_dir
+from kalendria.plans.scratch import table as staged
+
+__all__ = ["broadcast_if_small", "documents", "drop", "fold_ascii", "hadoop_path", "scratch_dir", "staged"]
 
 #: The fixed alphabet pair for lower-casing ASCII letters and nothing else.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A new folder below the shared folder that the cluster names."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or FALLBACK_DIR
-    return f"{base.rstrip('/')}/kalendria-{uuid.uuid4().hex}"
-
-
-def hadoop_path(spark: SparkSession, path: str):
-    """(file system, path) as Hadoop sees them."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def staged(df: DataFrame) -> DataFrame:
-    """``df`` written once as Parquet to the shared folder and read again.
-
-    Cuts the lineage: a lost executor costs a reread, not a recomputation. The
-    folder goes when the session's JVM ends, or earlier through :func:`drop`.
-    """
-    spark = df.sparkSession
-    path = scratch_dir(spark)
-    df.write.parquet(path)
-    fs, p = hadoop_path(spark, path)
-    fs.deleteOnExit(p)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._kalendria_path = path
-    return out
-
-
-def drop(df: DataFrame) -> None:
-    """Deletes the files behind a :func:`staged` table that nothing reads any more."""
-    path = getattr(df, "_kalendria_path", None)
-    if path:
-        fs, p = hadoop_path(df.sparkSession, path)
-        fs.delete(p, True)
-
-
 def broadcast_if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:
     """A broadcast hint when the counted ``rows`` are within ``limit``; else a shuffled join."""
     return F.broadcast(df) if rows <= limit else df
