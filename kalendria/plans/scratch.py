@@ -27,15 +27,21 @@ def hadoop_path(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def table(df: DataFrame) -> DataFrame:
+#: Rows that make a file of their own, where a caller knows about how many there are.
+FILE_ROWS = 1_000_000
+
+
+def table(df: DataFrame, rows: int | None = None, each: int = FILE_ROWS) -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read again.
 
     Cuts the lineage: a lost executor costs a reread, not a recomputation. The
-    files go when the session's JVM ends, or earlier through :func:`drop`.
+    files go when the session's JVM ends, or earlier through :func:`drop`. With
+    ``rows``, about as many as there are, a file holds ``each`` of them or more:
+    a small table does not become as many files as a large one has partitions.
     """
     spark = df.sparkSession
     path = folder(spark)
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(max(1, -(-rows // each)))).write.parquet(path)
     fs, p = hadoop_path(spark, path)
     fs.deleteOnExit(p)
     out = spark.read.schema(df.schema).parquet(path)
