@@ -4,21 +4,24 @@ Fingerprints: a bit is set if it is set in over half the XXH64 hashes of the
 text's word shingles. Two documents link when at most ``radius`` bits differ;
 a document's component is named by the smallest id that links reach.
 
-Search: of two fingerprints at most 4 bits apart, the lower or the upper halves
-are at most 2 apart. For each half, a vantage-point tree (fitted on a bounded,
-hash-ordered sample of fingerprints, no more than ``SAMPLE``) deals *every*
-distinct fingerprint to the shard of its leaf, and copies it as a query to the
-shards across a boundary that the triangle bound can't rule out. In a shard the
-same tree goes on in memory: a branch is visited only if the query's distance to
-the vantage point is within the radius of the branch's bound; the last blocks
-are compared outright, on whole fingerprints. So the pairs are exact.
-
-Size: exact copies share a fingerprint and enter once. A shard reports a forest
-(an edge from each linked fingerprint to its local root), never all pairs of a
-group; blocks whose members are already connected are skipped. A shard beyond
-``BLOCK`` rows is split into salted pieces whose pairs go to tasks of their own.
-Components come from label propagation with pointer jumping over that forest,
-each round written to the shared folder; only counts reach the driver.
+Search: fingerprints are cut into ``PARTS`` parts. Of two that differ in ``radius``
+bits, the two parts that differ least differ in no more than :func:`reach` of them:
+none for 4 bits and six parts. Every pair of parts is a space with a vantage-point
+tree of its own, fitted on a bounded, hash-ordered sample (``SAMPLE``), bounds
+chosen so that both branches hold as many points. Each tree deals *every* distinct
+fingerprint to the shard of its leaf, and copies it as a query to the shards across
+a boundary that the triangle bound can't rule out; within a reach of 0 there are
+none. In a shard the tree goes on in memory: a branch is visited only if the query's
+distance to the vantage point is within reach of its bound; the last blocks are
+compared outright, on whole fingerprints. So the links are exact.
+
+Size: exact copies share a fingerprint and enter once. Each distinct fingerprint is
+dealt once a tree, 15 times, whatever their number. A shard reports a forest (an
+edge from each linked fingerprint to its local root), never all pairs of a group;
+blocks whose members are already connected are skipped. A shard beyond ``BLOCK``
+rows is split into salted pieces whose pairs go to tasks of their own. Components
+come from label propagation with pointer jumping over that forest, each round
+written to the shared folder; only counts and the sample reach the driver.
 
 Edge cases: null and empty texts, and those of white space, have fingerprint 0,
 linked like any other; fewer words than a shingle make one shingle; repeated
@@ -31,6 +34,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +46,12 @@ from kalendria.llm.support import broadcast_if_small, drop, staged
 from kalendria.plans import components as plans
 
 SEED = 42
-#: Fingerprints the tree is fitted on, at most; all are indexed.
-SAMPLE = 65_536
-#: Fingerprints of a leaf that the tree aims at, and rows of a shard from which it is split.
-LEAF, BLOCK = 16_384, 262_144
+#: Parts of a fingerprint; each two of them are the space of a tree.
+PARTS = 6
+#: Fingerprints the trees are fitted on, at most; all are indexed.
+SAMPLE = 131_072
+#: Fingerprints of a leaf that a tree aims at, and rows of a shard from which it is split.
+LEAF, BLOCK = 16_384, 1_048_576
 #: Comparisons below which a block is done outright.
 OUTRIGHT = 1 << 16
 SLICE = 1 << 16
@@ -84,31 +90,45 @@ def fingerprints(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, tkey bigint, fp bigint")
 
 
-def half(fps: np.ndarray, which: int) -> np.ndarray:
-    return ((fps >> np.uint64(32 * which)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+def spaces(parts: int = PARTS) -> list[np.uint64]:
+    """For each pair of parts, the mask of its bits."""
+    cuts = [64 * i // parts for i in range(parts + 1)]
+    masks = [(1 << b) - (1 << a) for a, b in zip(cuts, cuts[1:], strict=False)]
+    return [np.uint64(x | y) for x, y in combinations(masks, 2)]
+
+
+def reach(radius: int, parts: int = PARTS) -> int:
+    """Bits in which the two closest parts differ at most when ``radius`` bits differ in all: those of an even spread."""
+    each, more = divmod(radius, parts)
+    return 2 * each + max(0, more - (parts - 2))
 
 
 class VantageTree:
-    """A vantage-point tree over 32-bit halves; leaves are numbered from 0."""
+    """A vantage-point tree over some bits of fingerprints; leaves are numbered from 0."""
 
     def __init__(self, sample: np.ndarray, depth: int):
-        self.nodes: dict[int, tuple[np.uint32, int]] = {}
+        self.nodes: dict[int, tuple[np.uint64, int]] = {}
         self.leaves: list[int] = []
-        self._fit(np.unique(sample), 1, depth)
+        self._fit(np.sort(sample), 1, depth)
         self.number = {leaf: i for i, leaf in enumerate(self.leaves)}
 
     def _fit(self, points: np.ndarray, at: int, depth: int) -> None:
+        best = None
         if depth and len(points) >= 16:
-            for vantage in points[:: max(1, len(points) // 4)][:4]:
-                d = np.bitwise_count(points ^ vantage)
-                bound = int(np.median(d))
-                near = d <= bound
-                if 0 < near.sum() < len(points):
-                    self.nodes[at] = (vantage, bound)
-                    self._fit(points[near], 2 * at, depth - 1)
-                    self._fit(points[~near], 2 * at + 1, depth - 1)
-                    return
-        self.leaves.append(at)
+            for vantage in points[:: max(1, len(points) // 8)][:8]:
+                upto = np.cumsum(np.bincount(np.bitwise_count(points ^ vantage), minlength=65))
+                bound = int(np.abs(2 * upto - len(points)).argmin())
+                uneven = abs(2 * int(upto[bound]) - len(points))
+                if uneven < len(points) and (best is None or uneven < best[0]):
+                    best = uneven, vantage, bound
+        if best is None:
+            self.leaves.append(at)
+            return
+        _, vantage, bound = best
+        self.nodes[at] = vantage, bound
+        near = np.bitwise_count(points ^ vantage) <= bound
+        self._fit(points[near], 2 * at, depth - 1)
+        self._fit(points[~near], 2 * at + 1, depth - 1)
 
     def deal(self, values: np.ndarray, radius: int, at: int = 1, rows: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
         """(leaf, rows) where ``values[rows]`` may have neighbours within ``radius`` in the leaf."""
@@ -157,9 +177,9 @@ class Forest:
         return len(r) == 0 or bool((r == r[0]).all())
 
 
-def local_links(fps: np.ndarray, own: np.ndarray, which: int, radius: int) -> np.ndarray:
-    """Root of each fingerprint of a shard, by exact links in which one side is the shard's own."""
-    forest, part, reach = Forest(len(fps)), half(fps, which), radius // 2
+def local_links(fps: np.ndarray, own: np.ndarray, space: np.uint64, radius: int) -> np.ndarray:
+    """Root of each fingerprint of a shard, by exact links in which one side is the shard's own and the bits of ``space`` are within reach."""
+    forest, part, near_by = Forest(len(fps)), fps & space, reach(radius)
 
     def outright(p: np.ndarray, q: np.ndarray) -> None:
         rows = max(1, (1 << 20) // max(1, len(q)))
@@ -187,8 +207,8 @@ def local_links(fps: np.ndarray, own: np.ndarray, which: int, radius: int) -> np
                 if k == 0 and forest.one(np.concatenate([p, q])):
                     return None
                 dq = np.bitwise_count(part[q] ^ part[v]).astype(np.int32)
-                visit(p[near], q[dq <= bound + reach])
-                visit(p[~near], q[dq > bound - reach])
+                visit(p[near], q[dq <= bound + near_by])
+                visit(p[~near], q[dq > bound - near_by])
                 return None
         if not forest.one(np.concatenate([p, q])):
             outright(p, q)
@@ -200,31 +220,31 @@ def local_links(fps: np.ndarray, own: np.ndarray, which: int, radius: int) -> np
 
 def link_edges(nodes: DataFrame, n: int, radius: int) -> DataFrame:
     """(a, b): fingerprints and the local roots they link to, over all shards."""
-    sample = np.array([r[0] for r in nodes.select("fp").orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()], dtype=np.int64).view(np.uint64)
-    depth = min(max(0, math.ceil(math.log2(max(1, n) / LEAF))), 11)
-    trees = [VantageTree(half(sample, w), depth) for w in (0, 1)]
-    offset, reach = len(trees[0].leaves), radius // 2
+    sample = nodes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toArrow().column(0).to_numpy().view(np.uint64)
+    depth = max(0, math.ceil(math.log2(max(1, n) / LEAF)))
+    masks, near_by = spaces(), reach(radius)
+    trees = [VantageTree(sample & m, depth) for m in masks]
+    offsets = np.cumsum([0, *(len(t.leaves) for t in trees)])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for w, tree in enumerate(trees):
-                values = half(fps, w)
-                home = np.empty(len(fps), np.int64)
+            for tree, mask, offset in zip(trees, masks, offsets, strict=False):
+                values, home = fps & mask, np.empty(len(fps), np.int64)
+                shards = np.empty(len(fps), np.int32)
                 for leaf, rows in tree.deal(values, 0):
-                    home[rows] = leaf
-                for leaf, rows in tree.deal(values, reach):
-                    rows = rows[home[rows] >= leaf]  # a pair across leaves meets in the lower one
-                    shard = pa.array(np.full(len(rows), leaf + w * offset, np.int32))
-                    yield pa.RecordBatch.from_arrays([shard, pa.array(fps[rows].view(np.int64)), pa.array(home[rows] == leaf)], ["shard", "fp", "own"])
-
-    dealt = staged(nodes.select("fp").mapInArrow(deal, "shard int, fp bigint, own boolean"))
-    # one count a shard, of at most twice 2048 leaves
-    large = {r["shard"]: math.ceil(r["count"] / BLOCK) for r in dealt.groupBy("shard").count().filter(F.col("count") > BLOCK).collect()}
-    pieces = F.lit(1)
-    for shard, s in large.items():
-        pieces = F.when(F.col("shard") == shard, F.lit(s)).otherwise(pieces)
-    salted = dealt.withColumn("pieces", pieces).withColumn("salt", F.pmod(F.xxhash64("fp"), F.col("pieces")).cast("int"))
+                    home[rows], shards[rows] = leaf, offset + leaf
+                yield pa.RecordBatch.from_arrays([pa.array(shards), pa.array(fps.view(np.int64)), pa.array(np.ones(len(fps), bool))], ["shard", "fp", "own"])
+                for leaf, rows in tree.deal(values, near_by) if near_by else ():
+                    rows = rows[home[rows] > leaf]  # a pair across leaves meets in the lower one
+                    shard = pa.array(np.full(len(rows), offset + leaf, np.int32))
+                    yield pa.RecordBatch.from_arrays([shard, pa.array(fps[rows].view(np.int64)), pa.array(np.zeros(len(rows), bool))], ["shard", "fp", "own"])
+
+    dealt = staged(nodes.select("fp").mapInArrow(deal, "shard int, fp bigint, own boolean"), n * len(trees))
+    # as many rows as leaves that are over-full, at most
+    large = dealt.groupBy("shard").count().filter(F.col("count") > BLOCK).select(F.col("shard").alias("_s"), F.ceil(F.col("count") / BLOCK).cast("int").alias("_p"))
+    salted = dealt.join(F.broadcast(large), F.col("shard") == F.col("_s"), "left").select("shard", "fp", "own", F.coalesce("_p", F.lit(1)).alias("pieces"))
+    salted = salted.withColumn("salt", F.pmod(F.xxhash64("fp"), F.col("pieces")).cast("int"))
     # piece i meets piece j in the task (min, max)
     paired = salted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
     tasks = paired.select("shard", F.least("salt", "other").alias("lo"), F.greatest("salt", "other").alias("hi"), "fp", "own")
@@ -232,11 +252,12 @@ def link_edges(nodes: DataFrame, n: int, radius: int) -> DataFrame:
     def links(key, table):
         fps = table.column("fp").to_numpy().view(np.uint64)
         own = table.column("own").to_numpy(zero_copy_only=False).astype(bool)
-        roots = local_links(fps, own, 0 if key[0].as_py() < offset else 1, radius)
+        space = masks[int(np.searchsorted(offsets, key[0].as_py(), side="right")) - 1]
+        roots = local_links(fps, own, space, radius)
         moved = roots != np.arange(len(fps))
         return pa.table({"a": fps[moved].view(np.int64), "b": fps[roots[moved]].view(np.int64)})
 
-    return tasks.groupBy("shard", "lo", "hi").applyInArrow(links, "a bigint, b bigint")
+    return tasks.groupBy("shard", "lo", "hi").applyInArrow(links, "a bigint, b bigint").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -251,11 +272,12 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     same for all its members: one of least id, and among them of least text hash.
     """
     prints = staged(fingerprints(docs, text_col, id_col, shingle))
-    nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "tkey")).alias("who")))
-    edges = staged(link_edges(nodes, nodes.count(), radius))
+    nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "tkey")).alias("who")), prints.count())
+    n = nodes.count()
+    edges = staged(link_edges(nodes, n, radius), n)
     rooted = nodes.join(components(edges), "fp", "left").select("fp", "rep", "who", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"), F.min("who").alias("who"))
-    named = staged(rooted.drop("rep", "who").join(least, "root").select("fp", "component_id", "who"))
+    named = staged(rooted.drop("rep", "who").join(least, "root").select("fp", "component_id", "who"), n)
     drop(nodes, edges)
     return prints.join(named, "fp", "left").select("doc_id", "tkey", "fp", "component_id", "who")
 

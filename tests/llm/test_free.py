@@ -130,6 +130,23 @@ def test_trees_find_every_link(spark, monkeypatch, block):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, same.values()))
 
 
+def test_trees_copy_queries_over_boundaries(spark, monkeypatch):
+    """Beyond four bits two parts may differ, and shards across a bound are asked as well."""
+    monkeypatch.setattr(simhash, "LEAF", 32)
+    assert [simhash.reach(r) for r in (3, 4, 5, 6, 10)] == [0, 0, 1, 2, 2]
+    r = random.Random(11)
+    fps = [r.getrandbits(64) for _ in range(150)]
+    fps += [x ^ sum(1 << b for b in r.sample(range(64), r.choice([5, 6, 7]))) for x in fps]
+    signed = np.array(sorted(set(fps)), np.uint64).view(np.int64).tolist()
+    nodes = spark.createDataFrame([(x, i) for i, x in enumerate(signed)], "fp long, rep long")
+    roots = {x["fp"]: x["root"] for x in simhash.components(simhash.link_edges(nodes, len(signed), 6)).collect()}
+    want, groups, same = brute_components(signed, fps := [x % (1 << 64) for x in signed], 6), {}, {}
+    for x in signed:
+        groups.setdefault(roots.get(x, x), set()).add(x)
+        same.setdefault(want[x], set()).add(x)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, same.values())) and fps
+
+
 def test_keep_one_of_each_group(spark):
     long = " ".join(f"w{i}" for i in range(200))
     rows = [(3, long), (1, long), (1, long), (2, "another text of five words"), (None, long), (None, "alone here with no id")]
@@ -169,6 +186,35 @@ def test_languages_of_held_out_rows(spark, tmp_path):
     assert language_id.keep_identified(docs, language_id.fit_languages(docs)).count() == 0
 
 
+def test_accuracy_on_held_out_rows_alone(spark):
+    r = random.Random(12)
+    rows = [(i, " ".join(r.choice(SAMPLES[lang].split()) for _ in range(20)), lang) for i in range(600) for lang in [r.choice(sorted(SAMPLES))]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model, truth = language_id.fit_languages(docs), {i: lang for i, _, lang in rows}
+    held = {i for i in truth if zlib.crc32(str(i).encode()) % 4 == 2}
+    got = {g["doc_id"]: (g["lang_pred"], g["score"]) for g in language_id.identify(docs, model).collect()}
+    assert len(held) > 100 and sum(got[i][0] == truth[i] for i in held) >= 0.98 * len(held)
+    for i, text, _ in r.sample(rows, 25):  # n-grams one by one, and every duel by itself
+        data = (" " + text + " ").encode()
+        grams = [(g, data[j : j + g]) for g in (3, 4) for j in range(len(data) - g + 1)]
+        at = lambda g, b: ((int.from_bytes(b) * 2654435761 if g == 3 else int.from_bytes(b) * 2246822519 + 97) & 0xFFFFFFFF) >> 18
+        margins = {d: sum(float(model.weights[at(*x), k]) for x in grams) / len(grams) + float(model.bias[k]) for k, d in enumerate(model.duels)}
+        win = lambda level, names: max(names, key=lambda n: (sum((m >= 0) == (n == d[1]) for d, m in margins.items() if d[0] == level and n in d[1:]), -names.index(n)))
+        family = win("family", sorted(model.groups))
+        assert got[i][0] == win(family, model.groups[family])
+
+
+def test_fitting_draws_from_every_language(spark):
+    """Thousands of rows without an id, repeated rows, and a language of long texts only."""
+    r = random.Random(13)
+    text = lambda lang, n=30: " ".join(r.choice(SAMPLES[lang].split()) for _ in range(n))
+    rows = [(None, text("en"), "en") for _ in range(1500)] + [(7, SAMPLES["fr"], "fr")] * 1500 + [(i, text("fr"), "fr") for i in range(60)]
+    rows += [(i, text("de"), "de") for i in range(100)] + [(i, text("es", 45_000), "es") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit_languages(docs)
+    assert [model.predict(SAMPLES[lang])[0] for lang in sorted(SAMPLES)] == sorted(SAMPLES)
+
+
 def test_bucket_pieces_join_up(monkeypatch):
     text = "ab " * 500
     whole = language_id.profile(text)
@@ -203,6 +249,28 @@ def test_codec_against_brute_force_and_round_trip(spark):
         PieceCodec({"a▁b": (1, 0.0)}, list(range(256)))
 
 
+def test_whole_texts_against_brute_force_and_odd_ids(spark):
+    """Encoding in words and parts loses nothing against one segmentation of the whole text."""
+    r = random.Random(10)
+    pieces = {p: (i + 256, -float(r.randint(1, 30))) for i, p in enumerate(sorted({"".join(r.choice("abcd") for _ in range(r.randint(1, 4))) for _ in range(25)} | {"▁", "▁a", "▁b"}))}
+    codec = PieceCodec(pieces, list(range(256)))
+    score = {i: s for i, s in pieces.values()}
+    for _ in range(300):
+        text = "".join(r.choice("abcdé ") for _ in range(r.randint(1, 25)))
+        assert sum(score.get(i, codec.byte_score) for i in codec.encode(text)) == brute_viterbi(codec, pieces, "▁" + text.replace(" ", "▁"))
+    assert codec.decode([0xC3]) == "\ufffd" and codec.decode([10**6, 65]) == "\ufffdA" and codec.decode([None, 65]) == "\ufffdA" and codec.decode([]) == ""
+
+
+def test_long_texts_without_blanks():
+    import time
+
+    codec, r = PieceCodec.load(DEFAULT_MODEL), random.Random(3)
+    text = "".join(chr(r.randint(0x4E00, 0x9FFF)) for _ in range(300_000))
+    began = time.process_time()
+    assert codec.decode(codec.encode(text)) == text
+    assert time.process_time() - began < 20
+
+
 def test_codec_agrees_with_the_library(spark):
     """The library, told that the same pieces are a unigram model, gives segmentations of the same score."""
     import sentencepiece
