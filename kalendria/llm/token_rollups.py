@@ -3,8 +3,9 @@
 Changes to documents come in batches: inserts, deletes and revised counts. Each
 change is a signed row, a batch is summed by source, language and tokenizer
 version, and the sums are stored as that batch's delta; totals are the sums of
-the deltas. A batch becomes visible through one marker file created if absent,
-so committing it again, or after a crash half way, changes nothing.
+the deltas. A batch becomes visible whole, through the renaming of its delta's
+folder to the hash of its name, so committing it again, or after a crash half way,
+changes nothing; batches may come in any order.
 
 Sizes: deltas and totals have a row for each source, language and version;
 partial aggregation precedes their shuffle, so a source with most of the rows
@@ -21,6 +22,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -83,69 +85,91 @@ def revised(counts: DataFrame, tokenizer: str, old: str, new: str) -> DataFrame:
 
 
 class Rollup:
-    """Totals below ``path``, kept through committed batches of signed changes."""
+    """Totals below ``path``, kept through committed batches of signed changes.
+
+    ``deltas/<hash of the batch>`` is a batch's delta, ``bases/<number>`` the sums
+    of batches that were folded and the list of them. Each comes into being whole,
+    by the renaming of a folder, so that a crash leaves it either there or not.
+    """
 
     def __init__(self, spark: SparkSession, path: str | None = None, schema: str = "source string, lang string, tokenizer string, n_docs long, n_tokens long, n_chars long"):
         self.spark, self.path, self.schema = spark, path or scratch_dir(spark), schema
 
-    def _marker(self, batch: str):
-        return hadoop_path(self.spark, f"{self.path}/commits/{hashlib.sha256(batch.encode()).hexdigest()}")
+    def _publish(self, made: str, name: str) -> bool:
+        """Renames a finished folder to its name; False if the name was taken."""
+        fs, to = hadoop_path(self.spark, f"{self.path}/{name}")
+        _, own = hadoop_path(self.spark, f"{self.path}/{made}")
+        fs.mkdirs(to.getParent())
+        taken = bool(fs.exists(to))
+        if not taken:
+            fs.rename(own, to)
+            # a rename onto a folder that another writer made meanwhile puts ours inside it
+            _, inside = hadoop_path(self.spark, f"{self.path}/{name}/{made}")
+            taken = bool(fs.exists(inside))
+            fs.delete(inside, True)
+        fs.delete(own, True)
+        return not taken
+
+    def _names(self, folder: str, pattern: str) -> list[str]:
+        fs, p = hadoop_path(self.spark, f"{self.path}/{folder}")
+        names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(n for n in names if re.fullmatch(pattern, n))
+
+    def _base(self) -> tuple[str | None, set[str]]:
+        """The last base and the batches folded into it."""
+        names = self._names("bases", r"\d{12}")
+        if not names:
+            return None, set()
+        fs, p = hadoop_path(self.spark, f"{self.path}/bases/{names[-1]}/_batches")
+        stream = fs.open(p)
+        folded = set(bytes(stream.readAllBytes()).decode().split())
+        stream.close()
+        return names[-1], folded
 
     def committed(self, batch: str) -> bool:
-        fs, p = self._marker(batch)
-        return bool(fs.exists(p))
+        name = _hash(batch)
+        fs, p = hadoop_path(self.spark, f"{self.path}/deltas/{name}")
+        return bool(fs.exists(p)) or name in self._base()[1]
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Adds a batch once; False if it was there already."""
         if self.committed(batch):
             return False
-        name = f"deltas/{uuid.uuid4().hex}"
-        changes.groupBy(*KEYS).agg(*(F.sum(c).alias(c) for c in SUMS)).write.parquet(f"{self.path}/{name}")
-        return self._mark(batch, name)
-
-    def _mark(self, batch: str, name: str) -> bool:
-        fs, p = self._marker(batch)
-        try:
-            out = fs.create(p, False)  # fails if another writer was first
-        except Exception:
-            if fs.exists(p):
-                return False
-            raise
-        out.write(bytearray(name.encode()))
-        out.close()
-        return True
-
-    def _deltas(self) -> dict[str, str]:
-        """Marker -> folder of its delta."""
-        fs, p = hadoop_path(self.spark, f"{self.path}/commits")
-        if not fs.exists(p):
-            return {}
-        out = {}
-        for s in fs.listStatus(p):
-            stream = fs.open(s.getPath())
-            out[s.getPath().getName()] = bytes(stream.readAllBytes()).decode()
-            stream.close()
-        return out
+        made = f"_{uuid.uuid4().hex}"
+        _summed(changes).write.parquet(f"{self.path}/{made}")
+        return self._publish(made, f"deltas/{_hash(batch)}")
+
+    def _rows(self) -> tuple[DataFrame, list[str], set[str]]:
+        """All there is to sum, the deltas among it, and the batches folded before."""
+        base, folded = self._base()
+        fresh = [n for n in self._names("deltas", "[0-9a-f]{64}") if n not in folded]
+        paths = [f"{self.path}/deltas/{n}" for n in fresh] + ([f"{self.path}/bases/{base}"] if base else [])
+        reader = self.spark.read.schema(self.schema)
+        return reader.parquet(*paths) if paths else self.spark.createDataFrame([], self.schema), fresh, folded
 
     def totals(self) -> DataFrame:
         """Sums by source, language and tokenizer version over all committed batches."""
-        names = sorted(set(self._deltas().values()))
-        reader = self.spark.read.schema(self.schema)
-        rows = reader.parquet(*(f"{self.path}/{n}" for n in names)) if names else self.spark.createDataFrame([], self.schema)
-        return rows.groupBy(*KEYS).agg(*(F.sum(c).alias(c) for c in SUMS)).filter(F.col("n_docs") != 0)
+        return _summed(self._rows()[0]).filter(F.col("n_docs") != 0)
 
     def compact(self) -> None:
-        """One delta in place of all there are; batches stay committed. One writer at a time."""
-        marks = self._deltas()
-        if len(set(marks.values())) > 1:
-            name = f"deltas/{uuid.uuid4().hex}"
-            self.totals().write.parquet(f"{self.path}/{name}")
-            folder = hadoop_path(self.spark, f"{self.path}/commits-{uuid.uuid4().hex}")
-            for m in marks:
-                fs, p = hadoop_path(self.spark, f"{folder[1].toString()}/{m}")
-                out = fs.create(p, False)
-                out.write(bytearray(name.encode()))
-                out.close()
-            fs, old = hadoop_path(self.spark, f"{self.path}/commits")
-            fs.delete(old, True)
-            fs.rename(folder[1], old)
+        """One base in place of all there is; batches stay committed, and groups without documents keep their sums. One compaction at a time."""
+        rows, fresh, folded = self._rows()
+        if len(fresh) > 1:
+            base, made = self._base()[0], f"_{uuid.uuid4().hex}"
+            _summed(rows).write.parquet(f"{self.path}/{made}")
+            fs, p = hadoop_path(self.spark, f"{self.path}/{made}/_batches")
+            out = fs.create(p, False)
+            out.write(bytearray("\n".join(sorted(folded | set(fresh))).encode()))
+            out.close()
+            if self._publish(made, f"bases/{int(base or 0) + 1:012d}"):
+                # what a crash leaves of these is passed over: the base names them
+                for n in fresh:
+                    fs.delete(hadoop_path(self.spark, f"{self.path}/deltas/{n}")[1], True)
+
+
+def _hash(batch: str) -> str:
+    return hashlib.sha256(batch.encode()).hexdigest()
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*KEYS).agg(*(F.sum(c).alias(c) for c in SUMS))
