@@ -59,7 +59,13 @@ def op4_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scans.scan_licenses(documents(spark, sf_dir))
     best = F.get("matches", F.lit(0))
-    return found.select("doc_id", best["license"].alias("license"), F.round(best["score"], 6).alias("score"), F.size("matches").cast("long").alias("n_units"))
+    return found.select(
+        "doc_id",
+        best["license"].alias("license"),
+        F.round(best["score"], 6).alias("score"),
+        F.size("matches").cast("long").alias("n_licenses"),
+        F.array_join(F.sort_array(F.transform("matches", lambda m: m["license"])), ",").alias("licenses"),
+    )
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,27 +75,30 @@ agg AS (SELECT doc_id, sum(e - s)::BIGINT AS n, string_agg(s || ':' || e, ',' OR
 SELECT doc_id, len(w)::BIGINT AS n_words, n AS n_repeat_words, spans FROM t JOIN agg USING (doc_id)
 """
 
-_VALUES = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, ts in sorted(TEMPLATES.items()) for t in ts)
-_NORMAL = f"string_split(trim(regexp_replace({LOWER.format('{}')}, '[^a-z0-9]+', ' ', 'g')), ' ')"
-_BIGRAMS = "list_distinct([{0}[i] || ' ' || {0}[i + 1] for i in generate_series(1, len({0}) - 1)])"
+_VALUES = ", ".join("({}, '{}', '{}')".format(i, n, t.replace("'", "''")) for i, (n, t) in enumerate((n, t) for n, ts in sorted(TEMPLATES.items()) for t in ts))
+_NORMAL = f"regexp_extract_all({LOWER.format('{}')}, '[a-z0-9]+')"
+_BIGRAMS = "[{0}[i] || ' ' || {0}[i + 1] for i in generate_series(1, len({0}) - 1)]"
 
 OP5 = rf"""
-WITH tpl AS (SELECT name, {_BIGRAMS.format("w")} AS b FROM (SELECT name, {_NORMAL.format("body")} AS w FROM (VALUES {_VALUES}) AS v(name, body))),
-units AS (
-  SELECT DISTINCT doc_id, {_NORMAL.format("u")} AS w FROM (
-    SELECT doc_id, unnest(string_split(text, chr(10))) AS u FROM documents
-    UNION ALL SELECT doc_id, unnest(string_split_regex(text, '\n[ \t\v\f\r]*\n')) FROM documents
-    UNION ALL SELECT doc_id, text FROM documents) WHERE u IS NOT NULL
-), ub AS (SELECT doc_id, w, {_BIGRAMS.format("w")} AS b FROM units WHERE len(w) > 1 AND len(w) < 400),
-m AS (
-  SELECT doc_id, w, name, 2 * len(list_intersect(ub.b, tpl.b)) / (len(ub.b) + len(tpl.b)) AS score
-  FROM ub JOIN tpl ON len(ub.b) >= len(tpl.b) * ({THRESHOLD} / (2 - {THRESHOLD}) - 1e-9) AND len(ub.b) * ({THRESHOLD} / (2 - {THRESHOLD}) - 1e-9) <= len(tpl.b)
-), best AS (
-  SELECT doc_id, w, name, score FROM m WHERE score >= {THRESHOLD} QUALIFY row_number() OVER (PARTITION BY doc_id, w ORDER BY score DESC, name) = 1
+WITH tpl AS (
+  SELECT id, name, b, len(b) AS n, ceil(len(b) * {THRESHOLD} / (2 - {THRESHOLD}) - 1e-9) AS least, floor(len(b) * (2 - {THRESHOLD}) / {THRESHOLD} + 1e-9) AS most
+  FROM (SELECT id, name, list_distinct({_BIGRAMS.format("w")}) AS b FROM (SELECT id, name, {_NORMAL.format("body")} AS w FROM (VALUES {_VALUES}) AS v(id, name, body)))
+), docs AS (SELECT doc_id, {_BIGRAMS.format("w")} AS g FROM (SELECT doc_id, {_NORMAL.format("text")} AS w FROM documents WHERE text IS NOT NULL) WHERE len(w) > 1),
+held AS (SELECT id, unnest(b) AS g FROM tpl),
+hits AS (
+  SELECT doc_id, id, i, row_number() OVER (PARTITION BY doc_id, id ORDER BY i) AS r
+  FROM (SELECT doc_id, i, g[i] AS x FROM docs, unnest(generate_series(1, len(g))) AS u(i)) JOIN held ON x = held.g
+), passages AS (
+  SELECT a.doc_id, a.id, a.i AS s, z.i AS e FROM hits a JOIN tpl USING (id) JOIN hits z ON a.doc_id = z.doc_id AND a.id = z.id
+  AND z.r >= a.r + least - 1 AND z.r < a.r + most AND z.i >= a.i AND z.i < a.i + most
+), scored AS (
+  SELECT doc_id, name, max(2 * len(list_intersect(p, b)) / (len(list_distinct(p)) + n)) AS score
+  FROM (SELECT doc_id, name, b, n, g[s:e] AS p FROM passages JOIN docs USING (doc_id) JOIN tpl USING (id)) GROUP BY doc_id, name
 ), agg AS (
-  SELECT doc_id, first(name ORDER BY score DESC, name) AS license, max(score) AS score, count(*) AS n FROM best GROUP BY doc_id
+  SELECT doc_id, first(name ORDER BY score DESC, name) AS license, max(score) AS score, count(*) AS n, string_agg(name, ',' ORDER BY name) AS names
+  FROM scored WHERE score >= {THRESHOLD} GROUP BY doc_id
 )
-SELECT d.doc_id, license, round(score, 6) AS score, coalesce(n, 0)::BIGINT AS n_units FROM documents d LEFT JOIN agg USING (doc_id)
+SELECT d.doc_id, license, round(score, 6) AS score, coalesce(n, 0)::BIGINT AS n_licenses, coalesce(names, '') AS licenses FROM documents d LEFT JOIN agg USING (doc_id)
 """
 
 
