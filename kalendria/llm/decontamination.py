@@ -130,7 +130,7 @@ def find_leaks(
     hit = F.size("runs") > 0
     found = runs.groupBy("_d", "_t").agg(
         F.sort_array(F.collect_set(F.when(hit, F.col("item_id").cast("string")))).alias("item_ids"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.when(hit, F.col("runs")))))).alias("spans"),
+        _unpacked(F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.when(hit, F.col("runs"))))))).alias("spans"),
     )
     none = {"item_ids": "cast(array() as array<string>)", "spans": "cast(array() as array<struct<start:int,len:int>>)"}
     out = base.join(found, on("doc_id", "tkey"), "left")
@@ -138,20 +138,24 @@ def find_leaks(
 
 
 def _runs(same: Column, need: Column, offset: Column) -> Column:
-    """(start, len) in document words of each run of ``need`` or more equal words."""
-
-    def step(a, x):
-        longer = F.struct(a["done"].alias("done"), (a["n"] + 1).alias("n"), (a["i"] + 1).alias("i"))
-        ended = F.struct(
-            F.when(a["n"] >= need, F.concat(a["done"], F.array(F.struct((offset + a["i"] - a["n"]).alias("start"), a["n"].alias("len"))))).otherwise(a["done"]).alias("done"),
-            F.lit(0).alias("n"),
-            (a["i"] + 1).alias("i"),
-        )
-        return F.when(x, longer).otherwise(ended)
+    """Each run of ``need`` or more equal words, as one long of its start and length in document words.
+
+    Longs are made distinct by hashing; spans as structs would be compared pair by pair.
+    """
+
+    def found(s: Column) -> Column:
+        on = lambda i: F.coalesce(F.get(s, i), F.lit(False))
+        starts = F.array_compact(F.transform(s, lambda x, i: F.when(x & ~on(i - 1), i)))
+        ends = F.array_compact(F.transform(s, lambda x, i: F.when(x & ~on(i + 1), i + 1)))
+        packed = F.zip_with(starts, ends, lambda a, b: F.when(b - a >= need, F.shiftleft((offset + a).cast("long"), 31) + (b - a)))
+        return F.array_compact(packed)
+
+    return _once(same, found)
+
 
-    start = F.struct(F.expr("cast(array() as array<struct<start:int,len:int>>)").alias("done"), F.lit(0).alias("n"), F.lit(0).alias("i"))
-    closed = F.concat(same, F.array(F.lit(False)))
-    return F.aggregate(closed, start, step, lambda a: a["done"])
+def _unpacked(runs: Column) -> Column:
+    length = (1 << 31) - 1
+    return F.transform(runs, lambda r: F.struct(F.shiftright(r, 31).cast("int").alias("start"), r.bitwiseAND(F.lit(length)).cast("int").alias("len")))
 
 
 def covered_words(spans: Column) -> Column:

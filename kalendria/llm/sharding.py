@@ -9,6 +9,11 @@ Sizes: the slot table has ``slots`` rows whatever the input, so the map may be
 broadcast and folded in one row; documents are dealt by slot, never by shard,
 so no task holds more than one slot's rows at a time.
 
+A record's id and text checksum decide its slot for good. Rows that repeat both
+can't be told apart by what they hold; each takes a slot by its place in the
+input, so that they spread like others. Equal texts under different ids spread
+as well: a group of copies may exceed a shard's even share.
+
 Edge cases: a null text counts 0 bytes and has a null checksum; null ids hash
 like any value, mixed with the text's checksum so that they spread; repeated
 rows each get a place of their own; an empty table gives an empty result and a
@@ -20,20 +25,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kalendria.llm.support import hadoop_path, scratch_dir, staged
+from kalendria.llm.support import broadcast_if_small, hadoop_path, scratch_dir, staged
 
 SLOTS = 4096
+#: Repeated (id, checksum) pairs up to which they are broadcast.
+BROADCAST_ROWS = 100_000
 
 
 def with_slot(docs: DataFrame, slots: int = SLOTS, text_col: str = "text", id_col: str = "doc_id", overhead: int = 8) -> DataFrame:
     """(doc_id, size, text_crc32, vslot), a row for each row of ``docs``."""
     text = F.col(text_col)
-    base = docs.select(
-        F.col(id_col).alias("doc_id"),
-        (F.coalesce(F.octet_length(text), F.lit(0)) + overhead).cast("long").alias("size"),
-        F.crc32(text).alias("text_crc32"),
+    base = staged(
+        docs.select(
+            F.col(id_col).alias("doc_id"),
+            (F.coalesce(F.octet_length(text), F.lit(0)) + overhead).cast("long").alias("size"),
+            F.crc32(text).alias("text_crc32"),
+            F.monotonically_increasing_id().alias("place"),
+        )
     )
-    return base.withColumn("vslot", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(slots)).cast("int"))
+    repeated = base.groupBy(F.col("doc_id").alias("_d"), F.col("text_crc32").alias("_c")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    met = base.join(broadcast_if_small(repeated, repeated.count(), BROADCAST_ROWS), base["doc_id"].eqNullSafe(F.col("_d")) & base["text_crc32"].eqNullSafe(F.col("_c")), "left")
+    own = F.when(F.col("_n").isNotNull(), F.col("place"))
+    return met.select("doc_id", "size", "text_crc32", F.pmod(F.xxhash64("doc_id", "text_crc32", own), F.lit(slots)).cast("int").alias("vslot"))
 
 
 def slot_weights(records: DataFrame, slots: int = SLOTS) -> DataFrame:
@@ -64,10 +77,23 @@ class SlotMap:
         return self.spark.read.schema("vslot int, shard int").parquet(f"{self.path}/version={v}")
 
     def _store(self, df: DataFrame) -> int:
+        """Writes the next version under a number that one writer alone can claim."""
         v = (self.versions() or [-1])[-1] + 1
-        df.select("vslot", "shard").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/version={v}")
+        while not self._claimed(v):
+            v += 1
+        df.select("vslot", "shard").coalesce(1).write.parquet(f"{self.path}/version={v}")
         return v
 
+    def _claimed(self, v: int) -> bool:
+        fs, p = hadoop_path(self.spark, f"{self.path}/_claims/{v}")
+        try:
+            fs.create(p, False).close()
+        except Exception:
+            if fs.exists(p):
+                return False
+            raise
+        return True
+
     def create(self, shards: int) -> int:
         """Version 0: slots dealt in turn."""
         ids = self.spark.range(self.slots)

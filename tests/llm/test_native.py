@@ -75,6 +75,17 @@ def test_leaks_past_the_broadcast_limit(spark, tables, monkeypatch):
     assert got == {i: brute_leaks(t, items) for i, t in docs}
 
 
+def test_many_runs_of_one_long_item(spark):
+    """Every tenth word differs: thousands of runs on one diagonal, and an item that repeats itself."""
+    item = " ".join(f"w{i}" for i in range(20_000))
+    doc = " ".join("x" if i % 12 == 0 else f"w{i}" for i in range(20_000))
+    docs = spark.createDataFrame([(1, doc), (2, "a b " * 3000)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, item), (2, "a b " * 30)], "item_id long, text string")
+    got = {r["doc_id"]: r for r in decontamination.find_leaks(docs, items).collect()}
+    assert len(got[1]["spans"]) == sum(len(range(s, min(s + 12, 20_000))) - 1 >= 10 for s in range(0, 20_000, 12))
+    assert brute_leaks("a b " * 300, [(2, "a b " * 30)])[1] == 600 and got[2]["spans"][0]["start"] == 0
+
+
 def test_leaks_of_empty_tables_and_repeats(spark, tables):
     docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (1, "c")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
@@ -132,6 +143,17 @@ def test_shards_are_even_and_places_gapless(spark, tables):
     assert all(x["size"] == len((text[x["doc_id"], x["text_crc32"]] or "").encode()) + 8 for x in rows)
 
 
+def test_rows_that_repeat_spread_over_shards(spark):
+    docs = spark.range(10_000).select(F.when(F.col("id") % 2 == 0, F.col("id") % 20).otherwise(F.col("id")).alias("doc_id"), F.lit("x" * 100).alias("text"))
+    rows = sharding.assign_shards(docs.repartition(3), 24).collect()
+    load, places = Counter(), {}
+    for r in rows:
+        load[r["shard"]] += r["size"]
+        places.setdefault(r["shard"], []).append(r["position"])
+    assert len(rows) == 10_000 and len(load) == 24 and max(load.values()) - min(load.values()) <= 0.02 * sum(load.values()) / 24
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
 def test_map_versions_are_edits(spark, tmp_path):
     docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.expr("repeat('x', cast(id % 97 as int))").alias("text"))
     records = sharding.with_slot(docs, 256)
