@@ -5,13 +5,16 @@ space, give hashed byte trigrams and 4-grams. Linear support vector machines
 (squared hinge, fitted here) first choose the language family, one against one;
 then, inside the family, one-against-one machines tell its languages apart.
 
-Fitting uses at most ``PER_LANGUAGE`` labelled rows of each language and of
-``LONGEST`` characters, drawn by a hash of the id; prediction reads every row and the whole text. The model is a
-small matrix that travels with the task; nothing is shuffled but the counts of
-labels.
+Fitting uses at most ``PER_LANGUAGE`` labelled rows of each language (fewer where
+that would come to more than ``SAMPLE_ROWS`` in all), those with the least hashes
+of id and text, repeated rows once. Their n-gram counts are taken where the rows
+are, so the driver gets ``BUCKETS`` numbers a row at most, however long the texts;
+prediction reads every row and the whole text. The model is a matrix of 64 KB for
+each pair of families and of languages inside a family, which travels with the task.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; ids
-may be null or repeat, each row has its own result; null labels are not learned;
+may be null or repeat, each row has its own result and may be fitted on; null
+labels are not learned;
 without any labelled row all is ``und``; one learned language is predicted
 always; ties go to the language that sorts first; extra columns are not read.
 """
@@ -25,7 +28,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Language families; a language not listed is a family of its own.
@@ -36,8 +39,8 @@ FAMILIES = {
 }
 
 UNKNOWN = "und"
-#: Labelled rows of a language used for fitting, at most, and their length in characters: so much of the corpus reaches the driver.
-PER_LANGUAGE, LONGEST = 400, 200_000
+#: Labelled rows used for fitting, at most, of a language and in all.
+PER_LANGUAGE, SAMPLE_ROWS = 400, 6_400
 BUCKETS = 1 << 14
 LETTER = regex.compile(r"\p{L}")
 #: Bytes: ASCII letters to lower case, other ASCII to space, the rest as they are.
@@ -102,7 +105,10 @@ class LanguageModel:
         self.bias = np.zeros(len(self.duels), np.float32)
 
     def fit(self, texts: list[str], labels: list[str]) -> LanguageModel:
-        x = np.stack([profile(t) for t in texts]) if texts else np.zeros((0, BUCKETS), np.float32)
+        return self.fit_profiles(np.stack([profile(t) for t in texts]) if texts else np.zeros((0, BUCKETS), np.float32), labels)
+
+    def fit_profiles(self, x: np.ndarray, labels: list[str]) -> LanguageModel:
+        """As :meth:`fit`, from the texts' profiles."""
         scale = 1 / np.sqrt(x.mean(axis=0) + 1e-6) if len(x) else np.ones(BUCKETS, np.float32)
         x *= scale
         names = np.array(labels)
@@ -149,26 +155,33 @@ def held_out(id_col: Column) -> Column:
 def fit_languages(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", lang_col: str = "lang", per_language: int = PER_LANGUAGE, families: dict | None = None) -> LanguageModel:
     """A model of the labelled rows outside the held-out quarter; at most ``per_language`` rows of each language."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter(
-        F.col("lang").isNotNull() & (F.length("text") <= LONGEST) & ~held_out(F.col("doc_id"))
+        F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
     )
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    langs = sorted(counts)
+    draw = F.xxhash64("doc_id", "text")
+    keyed = rows.select("lang", draw.alias("draw")).distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    least = keyed.withColumn("n", place).filter(F.col("n") <= per_language).groupBy("lang").agg(F.collect_list("draw").alias("draws")).collect()
+    langs = sorted(r["lang"] for r in least)
     if not langs:
         return LanguageModel([])
-    # a hash of the id admits half as many again as wanted; the rest is cut off in hash order
-    draw, span = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), 1 << 30
-    admit = F.lit(False)
-    for lang in langs:
-        share = min(1.0, 1.5 * per_language / counts[lang] + 1e-9)
-        admit = admit | ((F.col("lang") == lang) & (draw < int(share * span) + 1))
-    drawn = rows.filter(admit).orderBy(draw, "doc_id", "text").limit(2 * per_language * len(langs)).collect()
-    texts, labels, taken = [], [], dict.fromkeys(langs, 0)
-    for r in drawn:
-        if taken[r["lang"]] < per_language:
-            taken[r["lang"]] += 1
-            texts.append(r["text"])
-            labels.append(r["lang"])
-    return LanguageModel(langs, families).fit(texts, labels)
+    each = max(1, min(per_language, SAMPLE_ROWS // len(langs)))
+    bound = {r["lang"]: sorted(r["draws"])[:each][-1] for r in least}
+    admit = F.element_at(F.create_map(*(F.lit(v) for pair in bound.items() for v in pair)), F.col("lang"))
+    drawn = rows.withColumn("draw", draw).filter(F.col("draw") <= admit).dropDuplicates(["lang", "draw"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lang, order, text in zip(b.column(0), b.column(1), b.column(2), strict=True):
+                p = profile(text.as_py())
+                at = np.flatnonzero(p)
+                arrays = [pa.array([lang.as_py()], pa.string()), pa.array([order.as_py()], pa.int64()), pa.array([at.astype(np.int32)], pa.list_(pa.int32())), pa.array([p[at]], pa.list_(pa.float32()))]
+                yield pa.RecordBatch.from_arrays(arrays, ["lang", "draw", "at", "share"])
+
+    found = drawn.select("lang", "draw", "text").mapInArrow(count, "lang string, draw bigint, at array<int>, share array<float>").toArrow().sort_by([("lang", "ascending"), ("draw", "ascending")])
+    x = np.zeros((found.num_rows, BUCKETS), np.float32)
+    for row, (at, share) in enumerate(zip(found.column("at"), found.column("share"), strict=True)):
+        x[row, at.values.to_numpy()] = share.values.to_numpy()
+    return LanguageModel(langs, families).fit_profiles(x, found.column("lang").to_pylist())
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:

@@ -52,6 +52,8 @@ IDENTIFIERS = (
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 BEGIN, RUN = re.compile(r"[A-Za-z0-9+/_=-]"), re.compile(r"[A-Za-z0-9+/_=-]+")
+#: A word of a name without digits, and the characters for each from which such a candidate is a name and not priced.
+WORD, PER_WORD = re.compile("[A-Z]+(?![a-z])|[A-Z]?[a-z]+"), 3.5
 #: Characters from which zstandard codes literals by their frequency.
 CODED = 64
 SENSITIVE_RE = re.compile("|".join(map(re.escape, SENSITIVE)), re.IGNORECASE | re.ASCII)
@@ -77,6 +79,14 @@ class Novelty:
         return max(0, len(pack(text[start:end].encode())) - len(pack(b"")))
 
 
+def wordy(token: str) -> bool:
+    """Letters that fall into words where case or a sign changes: as names do, and unlike keys, whose runs are shorter."""
+    if any(c.isdigit() for c in token):
+        return False
+    words = WORD.findall(token)
+    return len(token) >= PER_WORD * len(words) if words else True
+
+
 def least_bytes(token: str) -> float:
     """Bytes of a token that repeats nothing: one a character, or the entropy of its own characters where they are coded."""
     n = len(token)
@@ -114,8 +124,7 @@ def novel_spans(text: str, known: list[tuple[int, int, str]], meter: Novelty, th
             start, end = whole.span()
             last = end
             token = text[start:end]
-            mixed = any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
-            if mixed and not any(start < e and s < end for s, e, *_ in known):
+            if not wordy(token) and not any(start < e and s < end for s, e, *_ in known):
                 cost = meter.marginal(text, start, end)
                 if cost >= threshold * least_bytes(token):
                     out.append((start, end, "novel", cost))

@@ -16,7 +16,8 @@ bytes, and the blank put before the text is taken off again.
 
 Edge cases: null texts have null pieces, empty texts none; ids may be null or
 repeat, each row keeps its own result; extra columns are not read; very long
-texts are encoded whole, a word at a time.
+texts are encoded whole, a word at a time; ids that stand for no text, null ones
+among them, decode as U+FFFD.
 """
 
 from __future__ import annotations
@@ -33,9 +34,10 @@ from pyspark.sql import functions as F
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
+NO_TEXT = "\ufffd".encode()
 #: How far the score of a byte is below the least score of a piece, and words kept by a worker's cache.
 BYTE_PENALTY = 10.0
-CACHE = 400_000
+CACHE = 100_000
 #: Blanks and the word behind them.
 CHUNK = regex.compile(r"▁+[^▁]*|[^▁]+")
 
@@ -102,14 +104,12 @@ class PieceCodec:
         """As :meth:`viterbi`, in parts: no piece spans two characters that stand side by side in no piece."""
         joins, cache = self.joins, self.cache
         cuts = [i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in joins]
-        out: tuple[int, ...] = ()
+        out: list[int] = []
         for a, b in zip([0, *cuts], [*cuts, len(chunk)], strict=True):
             part = chunk[a:b]
             ids = cache.get(part)
-            if ids is None:
-                ids = self.keep(part, self.viterbi(part))
-            out += ids
-        return self.keep(chunk, out) if cuts else out
+            out.extend(self.keep(part, self.viterbi(part)) if ids is None else ids)
+        return self.keep(chunk, tuple(out))
 
     def keep(self, chunk: str, ids: tuple[int, ...]) -> tuple[int, ...]:
         if len(chunk) <= 64:
@@ -133,7 +133,12 @@ class PieceCodec:
         return out
 
     def decode(self, ids: list[int]) -> str:
-        text = b"".join(map(self.raw.__getitem__, ids)).decode()
+        """The text of ids. What is no text, ids outside the vocabulary and bytes that are no UTF-8, shows as U+FFFD."""
+        try:
+            raw = b"".join(map(self.raw.__getitem__, ids))
+        except KeyError:
+            raw = b"".join(self.raw.get(i, NO_TEXT) for i in ids)
+        text = raw.decode(errors="replace")
         return text[1:] if text.startswith(" ") else text
 
 

@@ -23,3 +23,13 @@ def test_long_random_keys_of_small_alphabets():
             key = "".join(r.choice(letters) for _ in range(n - 2)) + "A2"
             assert spans(f"the private_key {key} here") == [(16, 16 + n, "novel")], (letters, n)
     assert spans("the private_key " + "get_client_secret_config_value1" * 8 + " here") == []
+
+
+def test_keys_of_letters_or_digits_alone():
+    r = random.Random(6)
+    key = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    for letters, n in ((mixed, 24), (mixed, 40), ("0123456789", 20)):
+        assert sum(bool(spans(f"the credential is {key(letters, n)} here")) for _ in range(100)) >= 90
+    for name in ("internationalization", "http-equiv-content-type-header", "access_token_instance", "getClientSecretConfigValue", "HTTPAuthorizationHeaderName", "=" * 30, "1234567890123456789"):
+        assert spans(f"the credential is {name} here") == [], name
