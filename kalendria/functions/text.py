@@ -87,7 +87,7 @@ def slug(acronym: Column, edition_year: Column, start: Column, paper: Column) ->
 
 
 def acronym_hint(c: Column) -> Column:
-    return F.regexp_extract(F.coalesce(c, F.lit("")), r"\b([A-Z][A-Z0-9]{1,11}(?:[ -]?20\d{2})?)\b", 1)
+    return F.regexp_extract(F.coalesce(c, F.lit("")), r"(?U)\b([A-Z][A-Z0-9]{1,11}(?:[ -]?20\d{2})?)\b", 1)
 
 
 def name_hint(c: Column) -> Column:

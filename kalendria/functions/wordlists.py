@@ -24,24 +24,25 @@ CONFERENCE_SIGNALS = ["call for papers", "cfp", "submission deadline", "paper de
 
 ONLINE = ["online", "virtual", "remote", "zoom", "webinar", "web-based", "everywhere"]
 
-UK = (
-    ["united kingdom", ", uk", " uk,", "(uk)", "uk.", "england", "scotland", "wales"]
-    + "london manchester oxford cambridge edinburgh glasgow birmingham bristol leeds sheffield liverpool newcastle nottingham southampton exeter bath".split()
-)
+UK = [
+    "united kingdom", ", uk", " uk,", "(uk)", "uk.", "england", "scotland", "wales", "london", "manchester", "oxford", "cambridge", "edinburgh", "glasgow", "birmingham",
+    "bristol", "leeds", "sheffield", "liverpool", "newcastle", "nottingham", "southampton", "exeter", "bath",
+]
 
 SWITZERLAND = "switzerland swiss zurich zürich zuerich geneva genève geneve basel bern lausanne lugano davos lucerne luzern montreux winterthur".split()
 
-EUROPE = (
-    "france germany spain italy netherlands belgium sweden norway denmark finland austria poland czech portugal greece hungary ireland luxembourg "
-    "malta croatia romania bulgaria slovakia slovenia estonia latvia lithuania cyprus "
-    "paris berlin madrid rome amsterdam brussels stockholm vienna oslo copenhagen helsinki lisbon athens dublin warsaw prague budapest bucharest europe european"
-).split()
+EUROPE = [
+    "france", "germany", "spain", "italy", "netherlands", "belgium", "sweden", "norway", "denmark", "finland", "austria", "poland", "czech", "portugal", "greece",
+    "hungary", "ireland", "luxembourg", "malta", "croatia", "romania", "bulgaria", "slovakia", "slovenia", "estonia", "latvia", "lithuania", "cyprus", "paris", "berlin",
+    "madrid", "rome", "amsterdam", "brussels", "stockholm", "vienna", "oslo", "copenhagen", "helsinki", "lisbon", "athens", "dublin", "warsaw", "prague", "budapest",
+    "bucharest", "europe", "european",
+]
 
 USA = [
-    *["united states", ", usa", " usa,", "u.s.a", "(usa)", "new york", "san francisco", "los angeles", "chicago", "boston", "seattle", "austin", "denver", "atlanta"],
-    *["houston", "dallas", "washington dc", "washington d.c", "san diego", "las vegas", "philadelphia", "orlando", "miami", "portland", "minneapolis", "pittsburgh"],
-    *["salt lake city", "nashville", "phoenix", "san jose", "santa clara", "palo alto", "menlo park"],
-    *[", ca,", ", ca.", ", ny,", ", ny.", ", tx,", ", wa,", ", ma,", ", il,", ", ga,", ", co,", ", fl,", ", va,", ", pa,", ", oh,", ", nc,", ", az,", ", or,"],
+    "united states", ", usa", " usa,", "u.s.a", "(usa)", "new york", "san francisco", "los angeles", "chicago", "boston", "seattle", "austin", "denver", "atlanta",
+    "houston", "dallas", "washington dc", "washington d.c", "san diego", "las vegas", "philadelphia", "orlando", "miami", "portland", "minneapolis", "pittsburgh",
+    "salt lake city", "nashville", "phoenix", "san jose", "santa clara", "palo alto", "menlo park", ", ca,", ", ca.", ", ny,", ", ny.", ", tx,", ", wa,", ", ma,",
+    ", il,", ", ga,", ", co,", ", fl,", ", va,", ", pa,", ", oh,", ", nc,", ", az,", ", or,",
 ]
 
 SINGAPORE = ["singapore"]

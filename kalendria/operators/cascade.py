@@ -63,11 +63,12 @@ def tier2_reason(severity: Column, confidence: Column) -> Column:
     return F.when(severity == "block", "quality_block").when(confidence < THRESHOLD[2], "low_confidence")
 
 
-def tier2_rounds(answers: DataFrame) -> DataFrame:
+def tier2_rounds(answers: DataFrame, duplicates: DataFrame | None = None) -> DataFrame:
     """(record_id, confidence, severity, route, reason) from parsed answers by (record_id, round).
 
     Rounds 1 to 3 and each sponsor's round 4 count with their confidence, failed
-    sponsors not at all; round 5 judges. A failed round 1, 2 or 5 escalates.
+    sponsors not at all; round 5 judges. A failed round 1, 2, 3 or 5 escalates. A
+    record in ``duplicates`` (record_id, duplicate_of) ends after round 1.
     """
     conf = F.when((F.col("round") < 5) & ~F.col("failed"), jsonx.coerce_confidence(jsonx.field(F.col("parsed"), "confidence")))
     got = answers.groupBy("record_id").agg(
@@ -76,6 +77,19 @@ def tier2_rounds(answers: DataFrame) -> DataFrame:
         F.bool_or(F.col("failed") & F.col("round").isin(1, 2, 3, 5)).alias("broken"),
     )
     sev, c = F.coalesce("severity", F.lit("ok")), F.coalesce("confidence", F.lit(0.0))
+    if duplicates is not None:
+        first = answers.filter("round = 1").groupBy("record_id").agg(F.max(conf).alias("c1"), F.bool_or("failed").alias("f1"))
+        hit = duplicates.join(first, "record_id").filter(~F.col("f1")).select("record_id", "duplicate_of", "c1")
+        got = got.join(hit, "record_id", "left")
+        dup = F.col("duplicate_of").isNotNull()
+        return got.select(
+            "record_id",
+            F.when(dup, F.col("c1")).otherwise(c).alias("confidence"),
+            F.when(dup, "ok").otherwise(sev).alias("severity"),
+            F.when(dup, "collapse").when(F.col("broken"), "escalate_3").otherwise(tier2_route(sev, c)).alias("route"),
+            F.when(~dup, F.when(F.col("broken"), "json_parse_fail").otherwise(tier2_reason(sev, c))).alias("reason"),
+            "duplicate_of",
+        )
     return got.select(
         "record_id",
         c.alias("confidence"),

@@ -421,13 +421,11 @@ def document_flags(spark, d):
 
 @query(
     "document_hints",
-    r"""SELECT doc_id, sha1(text) AS text_hash, greatest(1, length(text) // 4)::INT AS tokens, regexp_extract(text, '\b([A-Z][A-Z0-9]{1,11}(?:[ -]?20\d{2})?)\b', 1) AS acronym,
-    coalesce(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: length(x) BETWEEN 5 AND 200)[1], trim(substr(text, 1, 120))) AS name FROM documents
-    WHERE NOT regexp_matches(text, '[^\x00-\x7F]')""",
+    r"""SELECT doc_id, sha1(text) AS text_hash, greatest(1, length(text) // 4)::INT AS tokens, regexp_extract(text, '(?:^|[^\pL\pM\pN_])([A-Z][A-Z0-9]{1,11}(?:[ -]?20\d{2})?)(?:$|[^\pL\pM\pN_])', 1) AS acronym,
+    coalesce(list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: length(x) BETWEEN 5 AND 200)[1], trim(substr(text, 1, 120))) AS name FROM documents""",
 )
 def document_hints(spark, d):
     t = F.col("text")
-    # over all texts; the SQL covers those of ASCII alone, where the word boundaries of the two engines agree
     return table(spark, d, "documents").select("doc_id", text.text_hash(t).alias("text_hash"), text.count_tokens(t).alias("tokens"), text.acronym_hint(t).alias("acronym"), text.name_hint(t).alias("name"))
 
 
@@ -584,19 +582,25 @@ def vecs(spark, d):
     return table(spark, d, "embeddings").select(F.col("vec_id").alias("event_id"), F.col("embedding").alias("vec"), "label")
 
 
-def first_vector(spark, d):
-    return vecs(spark, d).filter("event_id = 0").first()["vec"]
+def asked(rows):
+    return rows.filter("event_id % 100 = 0")
 
 
-@query("knn_top5", f"WITH {NEAR} SELECT n AS event_id, round(c, 4) AS cosine FROM near WHERE id = 0 ORDER BY c DESC, n LIMIT 5")
+@query("knn_top5", f"WITH {NEAR} SELECT id AS query_id, n AS event_id, round(c, 4) AS cosine, rank FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY c DESC, n) AS rank FROM near WHERE id % 100 = 0) WHERE rank <= 5")
 def knn_top5(spark, d):
-    return knn.neighbours(vecs(spark, d).filter("event_id <> 0"), first_vector(spark, d), 5, dim=64).select("event_id", F.round("cosine", 4).alias("cosine"))
+    rows = vecs(spark, d)
+    return knn.nearest(asked(rows), rows, 5).select("query_id", F.col("neighbour_id").alias("event_id"), F.round("cosine", 4).alias("cosine"), F.col("rank").cast("long").alias("rank"))
 
 
-@query("knn_filtered", f"WITH {NEAR} SELECT n AS event_id, label, round(c, 4) AS cosine FROM near JOIN embeddings e ON e.vec_id = n WHERE id = 0 AND label = 3 ORDER BY c DESC, n LIMIT 10")
+@query(
+    "knn_filtered",
+    f"""WITH {NEAR} SELECT id AS query_id, n AS event_id, label, round(c, 4) AS cosine FROM (SELECT near.*, e.label, row_number() OVER (PARTITION BY id ORDER BY c DESC, n) AS rank
+    FROM near JOIN embeddings e ON e.vec_id = n WHERE id % 100 = 0 AND e.label = 3) WHERE rank <= 10""",
+)
 def knn_filtered(spark, d):
-    rows = ev.where(vecs(spark, d), "label = :l AND event_id <> 0", {"l": 3})
-    return knn.neighbours(rows, first_vector(spark, d), 10).select("event_id", "label", F.round("cosine", 4).alias("cosine"))
+    every = vecs(spark, d)
+    rows = ev.where(every, "label = :l", {"l": 3})
+    return knn.nearest(asked(every), rows, 10).select("query_id", F.col("neighbour_id").alias("event_id"), F.lit(3).alias("label"), F.round("cosine", 4).alias("cosine"))
 
 
 @query(
@@ -624,7 +628,7 @@ def sweep_pairs(spark, d):
 
 
 PAIRS = f"""{NEAR}, {BLOCKED}, top AS (SELECT least(id, n) AS a, greatest(id, n) AS b, c FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY c DESC, n) AS r FROM near WHERE c >= {GREY}) WHERE r <= 5),
-pairs AS (SELECT a, b, bool_or(ann) AS is_ann, bool_or(NOT ann) AS is_acronym, max(c) AS c FROM (SELECT a, b, true AS ann, c FROM top UNION ALL SELECT a, b, false, NULL FROM acr WHERE a < 500 AND b < 500) GROUP BY a, b)"""
+pairs AS (SELECT a, b, bool_or(ann) AS is_ann, bool_or(NOT ann) AS is_acronym, max(c) AS c FROM (SELECT a, b, true AS ann, c FROM top UNION ALL SELECT a, b, false, NULL FROM acr) GROUP BY a, b)"""
 
 
 @query("pair_union_flags", f"WITH {PAIRS} SELECT a, b, is_ann, is_acronym, round(c, 4) AS cosine FROM pairs")
@@ -632,14 +636,37 @@ def pair_union_flags(spark, d):
     return sweep_pairs(spark, d).withColumn("cosine", F.round("cosine", 4))
 
 
-@query("sweep_verdicts")
-def sweep_verdicts(spark, d):
+SWEEP = f"""WITH RECURSIVE {PAIRS}, o AS (SELECT *, row_number() OVER (ORDER BY a, b) AS i, CASE WHEN (a % 17, -a) > (b % 17, -b) THEN a ELSE b END AS w FROM pairs),
+step(i, lost, verdict) AS (SELECT 0::BIGINT, []::BIGINT[], '' UNION ALL
+  SELECT o.i, CASE WHEN list_contains(lost, a) OR list_contains(lost, b) OR coalesce(c, 0) < {MERGE} THEN lost ELSE list_append(lost, CASE WHEN w = a THEN b ELSE a END) END,
+  CASE WHEN list_contains(lost, a) OR list_contains(lost, b) THEN 'skip' WHEN c >= {MERGE} THEN 'merge' WHEN c >= {GREY} OR is_acronym THEN 'pending' ELSE 'none' END
+  FROM step JOIN o ON o.i = step.i + 1),
+v AS (SELECT a, b, verdict, w AS winner, CASE WHEN w = a THEN b ELSE a END AS loser, CASE WHEN verdict = 'merge' THEN 'sweep' WHEN verdict = 'pending' THEN CASE WHEN c IS NULL THEN 'acronym_match' ELSE 'sweep' END END AS reason,
+  round(coalesce(c, 0), 4) AS cosine FROM step JOIN o ON o.i = step.i)"""
+
+
+def verdicts(spark, d):
     pairs = scratch.table(sweep_pairs(spark, d))
     met = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     ids = met.select(F.col("id").alias("event_id"), F.lit(0.5).alias("confidence"), F.timestamp_seconds(F.col("id") % 17).alias("scraped_at"))
     return dedup.sweep(pairs, ids, MERGE, GREY)
 
 
+@query("sweep_verdicts", f"{SWEEP} SELECT * FROM v")
+def sweep_verdicts(spark, d):
+    return verdicts(spark, d).drop("seq").withColumn("cosine", F.round("cosine", 4))
+
+
+@query("sweep_counts", f"{SWEEP} SELECT count(*) AS examined, count(*) FILTER (verdict = 'merge') AS merged, count(*) FILTER (verdict = 'pending') AS queued FROM v")
+def sweep_counts(spark, d):
+    return dedup.sweep_report(verdicts(spark, d))
+
+
+@query("sweep_pending", f"{SWEEP} SELECT 'existing_pair' AS kind, a AS event_id, b AS other_id, cosine, reason FROM v WHERE verdict = 'pending'")
+def sweep_pending(spark, d):
+    return dedup.pending_rows(verdicts(spark, d), as_of()).drop("ts").withColumn("cosine", F.round("cosine", 4))
+
+
 @query("lsh_pairs")
 def lsh_pairs(spark, d):
     return knn.lsh_pairs(vecs(spark, d), GREY)
@@ -673,16 +700,25 @@ def queue_depths(spark, d):
     return queue.depths(table(spark, d, "events").select(F.col("event_type").alias("tier")))
 
 
-@query("rate_gate", "SELECT event_id, epoch_us(ts) // 1000 - lag(epoch_us(ts) // 1000) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap_ms FROM events")
-def rate_gate(spark, d):
+def _gate(hours):
+    return f"""WITH RECURSIVE e AS (SELECT event_id, user_id, epoch_us(ts) // 1000 AS t FROM events), n AS (SELECT user_id, min(t) AS t FROM e GROUP BY 1),
+    g(user_id, t) AS (SELECT user_id, t FROM n UNION ALL SELECT x.user_id, x.nxt FROM (SELECT g.user_id, (SELECT min(e.t) FROM e WHERE e.user_id = g.user_id AND e.t >= g.t + {hours * 3_600_000}) AS nxt FROM g) x WHERE x.nxt IS NOT NULL),
+    f AS (SELECT user_id, t, min(event_id) AS event_id FROM e GROUP BY 1, 2), o AS (SELECT f.event_id FROM f JOIN g USING (user_id, t))"""
+
+
+def gated(spark, d, seconds):
     e = table(spark, d, "events").select("event_id", F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"), F.concat(F.lit("http://h"), F.col("user_id").cast("string"), F.lit(".org/x")).alias("url"))
-    return queue.rate_gate(e, 3600.0).select("event_id", "gap_ms")
+    return queue.rate_gate(e, seconds)
+
 
+@query("rate_gate", f"{_gate(1)} SELECT event_id, t - lag(t) OVER (PARTITION BY user_id ORDER BY t, event_id) AS gap_ms, event_id IN (SELECT event_id FROM o) AS allowed FROM e")
+def rate_gate(spark, d):
+    return gated(spark, d, 3600.0).select("event_id", "gap_ms", "allowed")
 
-@query("rate_gate_allowed")
+
+@query("rate_gate_allowed", f"{_gate(24)} SELECT 'h' || user_id || '.org' AS host, count(*) FILTER (event_id IN (SELECT event_id FROM o)) AS allowed, count(*) AS asked FROM e GROUP BY user_id")
 def rate_gate_allowed(spark, d):
-    e = table(spark, d, "events").select("event_id", F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"), F.concat(F.lit("http://h"), F.col("user_id").cast("string"), F.lit(".org/x")).alias("url"))
-    return queue.rate_gate(e, 86400.0).groupBy("host").agg(F.count_if("allowed").alias("allowed"), F.count(F.lit(1)).alias("asked"))
+    return gated(spark, d, 86400.0).groupBy("host").agg(F.count_if("allowed").alias("allowed"), F.count(F.lit(1)).alias("asked"))
 
 
 @query("queue_cursors", "SELECT event_type AS source, arg_max(event_id, ts) AS page FROM events GROUP BY 1")
@@ -745,14 +781,14 @@ def isa_closure(spark, d):
 @query(
     "upcoming_under_concept",
     f"""WITH {EV} SELECT event_id, {ISO.format("start_date")} AS start_date FROM ev JOIN customer ON series_id = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-    WHERE start_date > DATE '{AS_OF}' AND r_name = 'EUROPE' AND n_name IN ('FRANCE', 'GERMANY')""",
+    WHERE start_date > DATE '{AS_OF}' AND r_name = 'EUROPE' AND n_name IN ('NATION_3', 'NATION_8', 'NATION_1')""",
 )
 def upcoming_under_concept(spark, d):
     c, n = table(spark, d, "customer"), table(spark, d, "nation")
     by = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("n_name").alias("country"))
     e = event_view(spark, d).join(by, F.col("series_id") == F.col("c_custkey"))
     tags = e.select("event_id", F.col("country").alias("concept"))
-    return graph.upcoming_under(e, tags, isa_closure(spark, d), "EUROPE", ["FRANCE", "GERMANY"], as_of()).select("event_id", text_of("start_date"))
+    return graph.upcoming_under(e, tags, isa_closure(spark, d), "EUROPE", ["NATION_3", "NATION_8", "NATION_1"], as_of()).select("event_id", text_of("start_date"))
 
 
 @query("series_preceded_by", f"WITH {EV} SELECT event_id, p AS preceded_by FROM (SELECT event_id, lag(event_id) OVER (PARTITION BY series_id ORDER BY edition_year, event_id) AS p FROM ev) WHERE p IS NOT NULL")

@@ -146,12 +146,13 @@ def missing_models(needed: DataFrame, pulled: DataFrame) -> DataFrame:
 def parser_for_host(pages: DataFrame, registry: DataFrame, host: str = "host") -> DataFrame:
     """The module of the longest registered domain that the host is or ends with; registries are small tables.
 
-    Each host is expanded to its own suffixes, so the join is on equality.
+    Each distinct host is expanded to its own suffixes, so the join is on equality;
+    the pages only meet the answer for their host, every row and column as it was.
     """
-    labels = F.split(F.col(host), r"\.")
+    labels = F.split("_host", r"\.")
     n = F.size(labels)
     suffixes = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), "."))
-    wide = pages.select("*", F.posexplode_outer(suffixes).alias("_depth", "domain"))
+    wide = pages.select(F.col(host).alias("_host")).distinct().select("_host", F.posexplode_outer(suffixes).alias("_depth", "domain"))
     reg = registry.groupBy(F.lower("domain").alias("domain")).agg(F.min_by("module", "ordinal").alias("module"))
-    met = wide.join(reg, "domain", "left")
-    return met.groupBy(*pages.columns).agg(F.min_by("module", F.when(F.col("module").isNotNull(), F.col("_depth"))).alias("module"))
+    known = wide.join(reg, "domain").groupBy("_host").agg(F.min_by("module", "_depth").alias("module"))
+    return pages.join(known, pages[host] == known["_host"], "left").drop("_host")

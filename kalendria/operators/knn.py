@@ -17,8 +17,20 @@ from pyspark.sql import functions as F
 
 from kalendria.functions import vectors
 
-#: Rows of a block of query sets and self joins.
-BLOCK = 2048
+#: Rows of a block of query sets and self joins, and cosines that are held at once.
+BLOCK, HELD = 8192, 1 << 21
+
+#: What can be searched: embeddings, their id, and the table and columns that name them.
+TABLES = {"events": ("event_embeddings", "event_id", "events", "event_id", "acronym"), "concepts": ("concept_embeddings", "concept_name", "concepts", "name", "name")}
+
+
+def labelled(found: DataFrame, table: str, names: DataFrame, id_col: str | None = None) -> DataFrame:
+    """``found`` with the ``name`` of each hit, '' where the named table has none; an unknown ``table`` is an error."""
+    if table not in TABLES:
+        raise ValueError(f"unknown table {table!r}")
+    _, own, _, key, label = TABLES[table]
+    known = names.select(F.col(key).alias("_key"), F.col(label).alias("name"))
+    return found.join(known, found[id_col or own] == known["_key"], "left").withColumn("name", F.coalesce("name", F.lit(""))).drop("_key")
 
 
 def neighbours(rows: DataFrame, query: list[float], k: int, min_cosine: float = -1.0, id_col: str = "event_id", vec_col: str = "vec", dim: int | None = None) -> DataFrame:
@@ -37,9 +49,15 @@ def verdict(cosine: Column, merge: float = 0.97, grey: float = 0.92) -> Column:
 
 
 def best_neighbour(queries: DataFrame, rows: DataFrame, id_col: str = "event_id", vec_col: str = "vec", block: int = BLOCK) -> DataFrame:
-    """(query_id, neighbour_id, cosine): for each query its nearest other row.
+    """(query_id, neighbour_id, cosine): for each query its nearest other row."""
+    return nearest(queries, rows, 1, -1.0, id_col, vec_col, block).drop("rank")
+
+
+def nearest(queries: DataFrame, rows: DataFrame, k: int, min_cosine: float = -1.0, id_col: str = "event_id", vec_col: str = "vec", block: int = BLOCK) -> DataFrame:
+    """(query_id, neighbour_id, cosine, rank): for each query its ``k`` nearest other rows at ``min_cosine`` or more, exactly.
 
-    Both sides are dealt into blocks; every block of queries meets every block of rows in a task of its own.
+    Both sides are dealt into blocks; every block of queries meets every block of
+    rows in a task of its own. Null vectors and zero vectors have no neighbours.
     """
     many_q, many_r = (max(1, math.ceil(x.count() / block)) for x in (queries, rows))
 
@@ -47,26 +65,43 @@ def best_neighbour(queries: DataFrame, rows: DataFrame, id_col: str = "event_id"
         mine = F.pmod(F.xxhash64(id_col), F.lit(own)).cast("int")
         each = F.explode(F.sequence(F.lit(0), F.lit(other - 1)))
         names = ("q", "r") if asked else ("r", "q")
-        return df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"), F.lit(asked).alias("asked"), mine.alias(names[0]), each.alias(names[1]))
+        return df.filter(F.col(vec_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"), F.lit(asked).alias("asked"), mine.alias(names[0]), each.alias(names[1]))
 
     tasks = dealt(queries, True, many_q, many_r).unionByName(dealt(rows, False, many_r, many_q))
 
     def scan(key, table):
         asked = table.column("asked").to_numpy(zero_copy_only=False).astype(bool)
         ids, m = table.column("id").to_numpy(), _units(_matrix(table.column("vec")))
-        q, r = np.flatnonzero(asked), np.flatnonzero(~asked)
-        r = r[np.argsort(ids[r], kind="stable")]  # of equal cosines the least id comes first
-        if not len(q) or not len(r):
-            return pa.table({"query_id": np.zeros(0, np.int64), "neighbour_id": np.zeros(0, np.int64), "cosine": np.zeros(0)})
-        cos = np.nan_to_num(m[q] @ m[r].T, nan=-np.inf)
-        cos[ids[q][:, None] == ids[r][None, :]] = -np.inf
-        at = np.argmax(cos, axis=1)
-        best = cos[np.arange(len(q)), at]
-        ok = np.isfinite(best)
-        return pa.table({"query_id": ids[q][ok].astype(np.int64), "neighbour_id": ids[r][at][ok].astype(np.int64), "cosine": best[ok]})
+        return _top(ids[asked], m[asked], ids[~asked], m[~asked], k, min_cosine)
 
-    found = tasks.groupBy("q", "r").applyInArrow(scan, "query_id bigint, neighbour_id bigint, cosine double")
-    return found.groupBy("query_id").agg(F.max_by("neighbour_id", F.struct("cosine", -F.col("neighbour_id"))).alias("neighbour_id"), F.max("cosine").alias("cosine"))
+    found = tasks.groupBy("q", "r").applyInArrow(scan, "id bigint, neighbour_id bigint, cosine double")
+    return _ranked(found, k).withColumnRenamed("id", "query_id")
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("cosine"), "neighbour_id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
+def _top(ids: np.ndarray, q: np.ndarray, other: np.ndarray, r: np.ndarray, k: int, min_cosine: float) -> pa.Table:
+    """The ``k`` nearest rows of each query, ties by id: never more, however many are equal."""
+    order = np.argsort(other, kind="stable")
+    other, r = other[order], r[order]
+    out = [], [], []
+    step = max(1, HELD // max(1, len(r)))
+    for at in range(0, len(q) if len(r) else 0, step):
+        cos = np.nan_to_num(q[at : at + step] @ r.T, nan=-np.inf)
+        cos[ids[at : at + step][:, None] == other[None, :]] = -np.inf
+        cos[cos < min_cosine] = -np.inf
+        edge = np.partition(cos, len(r) - min(k, len(r)), axis=1)[:, len(r) - min(k, len(r))]
+        for i in range(len(cos)):
+            over, tied = np.flatnonzero(cos[i] > edge[i]), np.flatnonzero(cos[i] == edge[i])
+            near = np.concatenate([over, tied[: k - len(over)]]) if np.isfinite(edge[i]) else over
+            out[0].append(np.full(len(near), ids[at + i]))
+            out[1].append(other[near])
+            out[2].append(cos[i, near])
+    cat = [np.concatenate(c) if c else np.zeros(0) for c in out]
+    return pa.table({"id": cat[0].astype(np.int64), "neighbour_id": cat[1].astype(np.int64), "cosine": cat[2].astype(np.float64)})
 
 
 def _matrix(column) -> np.ndarray:
@@ -84,7 +119,7 @@ def self_neighbours(rows: DataFrame, k: int, min_cosine: float, n: int | None =
     """(id, neighbour_id, cosine, rank): for each row its ``k`` nearest others at ``min_cosine`` or more, exactly."""
     n = rows.count() if n is None else n
     blocks = max(1, math.ceil(n / BLOCK))
-    dealt = rows.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    dealt = rows.filter(F.col(vec_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     tasks = paired.select(F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "vec")
 
@@ -92,24 +127,10 @@ def self_neighbours(rows: DataFrame, k: int, min_cosine: float, n: int | None =
         lo, hi = (x.as_py() for x in key)
         block, ids = table.column("block").to_numpy(), table.column("id").to_numpy()
         m = _units(_matrix(table.column("vec")))
-        a, b = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-        out = []
-        for x, y in [(a, b)] if lo == hi else [(a, b), (b, a)]:
-            if len(x) and len(y):
-                cos = m[x] @ m[y].T
-                cos[ids[x][:, None] == ids[y][None, :]] = -np.inf
-                top = np.argsort(-np.nan_to_num(cos, nan=-np.inf), axis=1, kind="stable")[:, : k + 1]
-                keep = np.take_along_axis(cos, top, 1)
-                # ties at the edge are settled by id after the blocks meet
-                edge = np.take_along_axis(cos, top[:, -1:], 1) if top.shape[1] > k else np.full((len(x), 1), -np.inf)
-                i, j = np.nonzero((cos >= min_cosine) & (cos >= np.minimum(edge, keep[:, min(k, top.shape[1]) - 1 :][:, :1])))
-                out.append((ids[x[i]], ids[y[j]], cos[i, j]))
-        cat = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
-        return pa.table({"id": cat[0].astype(np.int64), "neighbour_id": cat[1].astype(np.int64), "cosine": cat[2].astype(np.float64)})
-
-    near = tasks.groupBy("lo", "hi").applyInArrow(compare, "id bigint, neighbour_id bigint, cosine double")
-    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("cosine"), "neighbour_id"))
-    return near.withColumn("rank", rank).filter(F.col("rank") <= k)
+        a, b = block == lo, block == hi
+        return pa.concat_tables([_top(ids[x], m[x], ids[y], m[y], k, min_cosine) for x, y in ([(a, b)] if lo == hi else [(a, b), (b, a)])])
+
+    return _ranked(tasks.groupBy("lo", "hi").applyInArrow(compare, "id bigint, neighbour_id bigint, cosine double"), k)
 
 
 def lsh_pairs(rows: DataFrame, min_cosine: float, id_col: str = "event_id", vec_col: str = "vec", tables: int = 8, seed: int = 7) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kalendria.functions import jsonx
 from kalendria.functions.text import canonical_url, host
 from kalendria.plans.ranking import numbered
 
@@ -100,6 +101,34 @@ def seeds(seed_urls: DataFrame, external: DataFrame) -> DataFrame:
     return one.unionByName(two)
 
 
+def new_seeds(requests: DataFrame, known: DataFrame) -> DataFrame:
+    """The requests that are new to the queue, once each by canonical link: their count is what seeding adds."""
+    keyed = requests.withColumn("canonical", canonical_url(F.col("url")))
+    first = keyed.groupBy("canonical").agg(F.min_by(F.struct(*requests.columns), F.struct("priority", "url")).alias("r"))
+    return first.join(known.select("canonical"), "canonical", "left_anti").select("canonical", "r.*")
+
+
+def payloads(rows: DataFrame, at: Column, target: Column | None = None) -> DataFrame:
+    """(list, payload): events with their text for tier 2, or with a reason for a target tier; tier 4 has no worker, so its rows go to the dead letters."""
+    common = {"event_id": F.col("event_id"), "text": F.col("text"), "source_url": F.col("source_url"), "enqueued_at": F.date_format(at, "yyyy-MM-dd'T'HH:mm:ssXXX")}
+    if target is None:
+        return rows.select(F.lit("queue:tier2").alias("list"), jsonx.stable_json(**common).alias("payload"))
+    to = F.when(target == 4, F.lit("dead")).otherwise(F.concat(F.lit("escalate:tier"), target.cast("string")))
+    return rows.select(to.alias("list"), jsonx.stable_json(**common, reason=F.col("reason")).alias("payload"))
+
+
+def encoded(jobs: DataFrame) -> Column:
+    """A job as compact JSON with its keys in order."""
+    fields = {c: F.col(c) for c in ("job_id", "url", "tier", "attempts", "metadata") if c in jobs.columns}
+    return jsonx.stable_json(**fields, enqueued_at=F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
+
+
+def decoded(raw: Column) -> Column:
+    """The job in a payload, a failure's reason left out; a time without a zone is UTC."""
+    job = F.from_json(raw, "job_id string, url string, tier int, attempts int, metadata map<string,string>, enqueued_at string")
+    return F.struct(*(job[c].alias(c) for c in ("job_id", "url", "tier", "attempts", "metadata")), F.to_timestamp(job["enqueued_at"]).alias("ts"))
+
+
 def rate_gate(requests: DataFrame, seconds: float) -> DataFrame:
     """``allowed`` for each request: a host passes once, then not again until ``seconds`` after that pass."""
     w = Window.partitionBy("host").orderBy("ts", "seq")

@@ -100,7 +100,7 @@ def write_reports(rows: DataFrame, folder: str, as_of: str) -> list[str]:
 
 
 def event_page() -> Column:
-    """An event row as its Markdown page."""
+    """An event row as its Markdown page. Its headings and labels are fixed values."""
     day = lambda c: F.coalesce(F.date_format(c, "yyyy-MM-dd"), F.lit("TBD"))
     s = lambda c, other="": F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit(other))
     text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
