@@ -124,16 +124,19 @@ def merge_pairs(events: DataFrame, pairs: DataFrame, reason: str, at: Column) ->
     return wide.select(*(new.get(c, F.col(c)).alias(c) for c in events.columns))
 
 
-def reroute(links: DataFrame, moves: DataFrame, keys: list[str], entity: str | None = None) -> DataFrame:
-    """Bridge rows of losers moved to their winners, unless the winner has the same entity and role (NULLs equal)."""
-    moved = links.join(F.broadcast(moves) if entity == "small" else moves, links["event_id"] == moves["loser"], "left")
-    target = moved.select(F.coalesce("winner", "event_id").alias("event_id"), *keys, F.col("loser").isNotNull().alias("_moved"))
-    kept = target.filter(~F.col("_moved")).drop("_moved")
-    come = target.filter("_moved").drop("_moved").distinct()
-    on = (come["event_id"] == kept["event_id"]) & come[keys[0]].eqNullSafe(kept[keys[0]])
-    for k in keys[1:]:
-        on = on & (come[k] == kept[k])
-    return kept.unionByName(come.join(kept, on, "left_anti"))
+def reroute(links: DataFrame, moves: DataFrame, keys: list[str]) -> DataFrame:
+    """Bridge rows of losers moved to their winners, unless the winner has the same entity and role (NULL entities are equal, NULL roles are not).
+
+    Rows are keyed anew once and meet in one aggregation.
+    """
+    moved = links.join(moves.select(F.col("loser").alias("_loser"), F.col("winner").alias("_winner")), links["event_id"] == F.col("_loser"), "left")
+    came = F.col("_loser").isNotNull()
+    apart = F.when(F.greatest(*(F.col(k).isNull() for k in keys[1:]), F.lit(False)), came)
+    target = moved.select(F.coalesce("_winner", "event_id").alias("event_id"), *keys, apart.alias("_apart"), (~came).cast("int").alias("_own"))
+    once = target.groupBy("event_id", *keys, "_apart").agg(F.sum("_own").alias("_own"))
+    # a winner's own rows stay as many as they were
+    again = F.explode(F.array_repeat(F.lit(1), F.greatest("_own", F.lit(1)).cast("int")))
+    return once.select("event_id", *keys, again.alias("_n")).drop("_n")
 
 
 def without(rows: DataFrame, losers: DataFrame) -> DataFrame:

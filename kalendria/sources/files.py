@@ -127,13 +127,23 @@ def export_events(events: DataFrame, path: str) -> None:
 
 
 def swap_in(df: DataFrame, path: str) -> None:
-    """A rewritten table in place of the old: written beside it, then renamed."""
+    """A rewritten table in place of the old: written beside it, the old one moved aside, the new one named, and only then the old one deleted."""
     spark = df.sparkSession
     df.write.mode("overwrite").parquet(f"{path}.new")
     fs, p = hadoop_path(spark, path)
-    _, fresh = hadoop_path(spark, f"{path}.new")
-    fs.delete(p, True)
+    fresh, aside = hadoop_path(spark, f"{path}.new")[1], hadoop_path(spark, f"{path}.old")[1]
+    if fs.exists(p):
+        fs.delete(aside, True)
+        fs.rename(p, aside)
     fs.rename(fresh, p)
+    fs.delete(aside, True)
+
+
+def recovered(spark: SparkSession, path: str) -> bool:
+    """Puts back what a crash inside :func:`swap_in` left aside; True if there was something."""
+    fs, p = hadoop_path(spark, path)
+    _, aside = hadoop_path(spark, f"{path}.old")
+    return not fs.exists(p) and bool(fs.exists(aside)) and bool(fs.rename(aside, p))
 
 
 def save_state(tables: dict[str, DataFrame], path: str) -> None:
