@@ -37,7 +37,7 @@ BLANK = "▁"
 NO_TEXT = "\ufffd".encode()
 #: How far the score of a byte is below the least score of a piece, and words kept by a worker's cache.
 BYTE_PENALTY = 10.0
-CACHE = 100_000
+CACHE = 250_000
 #: Blanks and the word behind them.
 CHUNK = regex.compile(r"▁+[^▁]*|[^▁]+")
 
