@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kalendria.functions import dates, location
+from kalendria.plans.ranking import numbered
 
 # Report texts.
 HEADS = {
@@ -99,6 +100,54 @@ def write_reports(rows: DataFrame, folder: str, as_of: str) -> list[str]:
     return sorted(texts)
 
 
+def report_lines(rows: DataFrame, as_of: str) -> DataFrame:
+    """(file, part, state, rank, line): every line of the reports that :func:`write_reports` makes, in one plan, in this order.
+
+    Rows have ``categories`` as a list. They are numbered over ranges, so that no
+    report is sorted in one task; only counts by report meet their titles.
+    """
+    day = F.lit(as_of).cast("date")
+    start = dates.start_date(F.col("when"))
+    past = F.coalesce(start < day, F.lit(False))
+    key = F.datediff(F.coalesce(start, F.lit("9999-12-31").cast("date")), F.lit("1970-01-01").cast("date"))
+    tags = location.location_tags(F.col("where"))
+    named = lambda names: F.transform(names, lambda n: F.concat(F.lower(n), F.lit(".md")))
+    own = F.filter(tags, lambda t: t.isin(*REGIONS, "India"))
+    files = F.concat(F.coalesce(named(F.array_distinct("categories")), F.expr("cast(array() as array<string>)")), F.array(F.lit("by_date.md")), named(own))
+    told = rows.select("*", F.explode(files).alias("file")).withColumns({"past": past, "_key": F.when(past, -key).otherwise(key)})
+    told = told.withColumn("state", F.when(F.col("file") == "india.md", location.india_state(F.coalesce("where", F.lit("")))).otherwise(""))
+    wide = F.col("file").isin("by_date.md", "india.md", *(f"{r.lower()}.md" for r in REGIONS))
+    lined = told.select("file", "past", "state", "_key", "ordinal", F.when(wide, line(True)).otherwise(line(False)).alias("line"))
+    body = numbered(lined, ["file", "past", "state"], [F.asc("_key"), F.asc("ordinal"), F.asc("line")])
+    part = F.when(F.col("past"), 3).otherwise(1)
+
+    titles = {"by_date.md": "All Conferences — Sorted by Date", "india.md": "India Conferences — State-wise"} | {f"{r.lower()}.md": f"{r} Conferences" for r in REGIONS}
+    given = rows.sparkSession.createDataFrame(list(titles.items()), "file string, title string")
+    category = rows.select(F.explode("categories").alias("c")).distinct().select(F.concat(F.lower("c"), F.lit(".md")).alias("file"), F.coalesce(F.create_map(*(F.lit(x) for kv in TITLES.items() for x in kv))[F.col("c")], F.col("c")).alias("title"))
+    counts = lined.groupBy("file").agg(F.count_if(~F.col("past")).alias("up"), F.count_if("past").alias("gone"))
+    every = given.unionByName(category).join(counts, "file", "left").na.fill(0, ["up", "gone"])
+    text = lambda *parts: F.concat(*(F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts))
+    up, gone, india = F.col("up"), F.col("gone"), F.col("file") == "india.md"
+    region = F.col("file").isin(*(f"{r.lower()}.md" for r in REGIONS))
+    none = lambda word: F.when(india, "_None._").otherwise(text(f"_No {word} conferences", F.when(region, " found").otherwise(""), "._"))
+    head = F.when(wide, HEADS[True]).otherwise(HEADS[False])
+    at = lambda part, n, line: F.struct(F.lit(part).alias("part"), F.lit(n).cast("long").alias("rank"), line.alias("line"))
+    start_of = lambda part, word, n: [at(part, -4, text(f"## {word.title()} (", n, ")")), at(part, -3, F.lit("")), at(part, -2, F.when(n == 0, none(word)).when(~india, head))]
+    top = [at(0, 0, text("# ", F.col("title"))), at(0, 1, F.lit("")), at(0, 2, text(f"> Last updated: **{as_of}**  |  Upcoming: **", up, "**  |  Past: **", gone, "**  |  Total: **", up + gone, "**")), at(0, 3, F.lit(""))]
+    lines = F.array(*top, *start_of(1, "upcoming", up), at(2, 0, F.when(~india, F.lit(""))), *start_of(3, "past", gone))
+    frame = every.select("file", F.explode_outer(lines).alias("x")).select("file", "x.part", F.lit("").alias("state"), "x.rank", "x.line").filter("line IS NOT NULL")
+    states = lined.filter("file = 'india.md'").select("file", "past", "state").distinct()
+    heads = F.array(*(F.struct(F.lit(n).cast("long").alias("rank"), x.alias("line")) for n, x in ((-3, text("### ", F.col("state"))), (-2, F.lit("")), (-1, F.lit(HEADS[True])), (1 << 60, F.lit("")))))
+    state_frame = states.select("file", part.alias("part"), "state", F.explode_outer(heads).alias("x")).select("file", "part", "state", "x.rank", "x.line")
+    return body.select("file", part.alias("part"), "state", "rank", "line").unionByName(frame).unionByName(state_frame)
+
+
+def save_reports(rows: DataFrame, folder: str, as_of: str) -> None:
+    """All reports below ``folder`` on any file system, a report a folder ``file=<name>`` of text parts whose names sort in the order of their lines."""
+    lines = report_lines(rows, as_of).repartitionByRange("file", "part", "state", "rank").sortWithinPartitions("file", "part", "state", "rank")
+    lines.select("file", "line").write.mode("overwrite").partitionBy("file").text(folder)
+
+
 def event_page() -> Column:
     """An event row as its Markdown page. Its headings and labels are fixed values."""
     day = lambda c: F.coalesce(F.date_format(c, "yyyy-MM-dd"), F.lit("TBD"))

@@ -119,3 +119,23 @@ def test_shell_verbs(spark, tmp_path, capsys, monkeypatch):
     assert cli.main(["dedup-sweep", str(tmp_path / "ev"), str(tmp_path / "emb"), "--out", str(tmp_path / "out"), "--as-of", "2026-01-01"]) == 0
     assert {r["event_id"]: r["superseded_by"] for r in spark.read.parquet(str(tmp_path / "out/events")).collect()} == {1: None, 2: 1, 3: None}
     assert spark.read.parquet(str(tmp_path / "out/event_embeddings")).count() == 2
+
+
+def test_report_lines_are_those_of_the_reports(spark, tmp_path):
+    from pathlib import Path
+
+    from kalendria.operators import reports
+
+    rows = [(i, f"A{i}", f"Name {i}", [["AI"], ["ML", "AI"], []][i % 3], "AI, ML", ["Mar 3, 2026", "Jun 7, 2024 - x", "N/A", None][i % 4], ["Pune, India", "London, UK", "Delhi, India", "Online", "Austin, TX, USA", None][i % 6], "TBD", "" if i % 5 else f"http://e/{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "ordinal long, acronym string, name string, categories array<string>, category string, when string, where string, deadline string, url string")
+    reports.write_reports(df, str(tmp_path / "r"), "2026-01-01")
+    got = {}
+    for r in reports.report_lines(df, "2026-01-01").orderBy("file", "part", "state", "rank").collect():
+        got.setdefault(r["file"], []).append(r["line"])
+    want = {p.name: p.read_text(encoding="utf-8") for p in Path(tmp_path / "r").iterdir()}
+    assert set(got) == set(want)
+    for name, text in want.items():
+        assert "\n".join(got[name]).rstrip("\n") == text.rstrip("\n"), name
+    reports.save_reports(df, str(tmp_path / "s"), "2026-01-01")
+    parts = sorted((tmp_path / "s" / "file=ai.md").glob("part-*"))
+    assert "".join(p.read_text(encoding="utf-8") for p in parts).rstrip("\n") == want["ai.md"].rstrip("\n")
