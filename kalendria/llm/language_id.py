@@ -152,13 +152,29 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(id_col.cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
+def _least_draws(most: int):
+    """The ``most`` least draws of each language in a task, each once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        for b in batches:
+            names, draws = b.column(0).dictionary_encode(), b.column(1).to_numpy()
+            for i, lang in enumerate(names.dictionary.to_pylist()):
+                found = draws[names.indices.to_numpy(zero_copy_only=False) == i]
+                held[lang] = np.unique(np.concatenate([held.get(lang, found[:0]), found]))[:most]
+        for lang, found in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found, pa.int64())], ["lang", "draw"])
+
+    return run
+
+
 def fit_languages(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", lang_col: str = "lang", per_language: int = PER_LANGUAGE, families: dict | None = None) -> LanguageModel:
     """A model of the labelled rows outside the held-out quarter; at most ``per_language`` rows of each language."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
     )
     draw = F.xxhash64("doc_id", "text")
-    keyed = rows.select("lang", draw.alias("draw")).distinct()
+    keyed = rows.select("lang", draw.alias("draw")).mapInArrow(_least_draws(per_language), "lang string, draw bigint").distinct()
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
     least = keyed.withColumn("n", place).filter(F.col("n") <= per_language).groupBy("lang").agg(F.collect_list("draw").alias("draws")).collect()
     langs = sorted(r["lang"] for r in least)
