@@ -9,9 +9,12 @@ from kalendria.functions.text import non_blank, strip, strip_thinking
 from kalendria.functions.wordlists import CATEGORIES
 
 
-def json_text(c: Column) -> Column:
-    """The part of an answer that parses: the whole, a fenced block, or the widest {...} or [...]; NULL if none does."""
-    text = strip_thinking(c)
+def _named(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), lambda v: then(v)), F.lit(0))
+
+
+def _parsing(text: Column) -> Column:
     fence = non_blank(F.regexp_extract(text, r"(?s)```(?:json)?\s*(.*?)\s*```", 1))
     braces = non_blank(F.regexp_extract(text, r"(?s)\{.*\}", 0))
     brackets = non_blank(F.regexp_extract(text, r"(?s)\[.*\]", 0))
@@ -19,11 +22,25 @@ def json_text(c: Column) -> Column:
     return F.coalesce(*(good(x) for x in (text, fence, braces, brackets)))
 
 
+def json_text(c: Column) -> Column:
+    """The part of an answer that parses: the whole, a fenced block, or the widest {...} or [...]; NULL if none does."""
+    return _named(strip_thinking(c), _parsing)
+
+
+def _mended(text: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(text, r"(?<=[{,])\s*'([A-Za-z0-9_]+)'\s*:", '"$1":'), r",(\s*[}\]])", "$1")
+
+
+def _loosened(text: Column) -> Column:
+    plain = F.regexp_replace(F.regexp_replace(text, r"(?s)/\*.*?\*/", ""), r"(?m)(^|[\s,{\[])//[^\n]*$", "$1")
+    plain = F.regexp_replace(_mended(plain), r"([{,]\s*)([A-Za-z_][A-Za-z0-9_]*)\s*:", '$1"$2":')
+    return F.regexp_replace(plain, r"([:\[,]\s*)'([^'\"\\\\\n]*)'(?=\s*[,}\]])", '$1"$2"')
+
+
 def repaired_json_text(c: Column) -> Column:
-    """As :func:`json_text`; failing that, with single-quoted keys and trailing commas mended."""
-    text = strip_thinking(c)
-    mended = F.regexp_replace(F.regexp_replace(text, r"(?<=[{,])\s*'([A-Za-z0-9_]+)'\s*:", '"$1":'), r",(\s*[}\]])", "$1")
-    return F.coalesce(json_text(c), json_text(mended))
+    """As :func:`json_text`; failing that, with single-quoted keys and trailing commas mended; failing that, without comments, with bare keys and single-quoted values quoted."""
+    second = lambda m: F.coalesce(_parsing(m), _named(_loosened(m), _parsing))
+    return _named(strip_thinking(c), lambda text: F.coalesce(_parsing(text), _named(_mended(text), second)))
 
 
 def field(parsed: Column, name: str, kind: str = "string") -> Column:

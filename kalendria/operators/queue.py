@@ -6,6 +6,8 @@ has job_id and expires. Times are columns, never the clock.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,15 +42,27 @@ def _opened(rows: DataFrame, key: str, t: str, step: Column) -> DataFrame:
     """(key, t) at which a gate opens: first, and then not until ``step`` after it last did.
 
     A request that comes ``step`` or more after the one before always passes, so
-    the times fall into bursts between such gaps, and only a burst is folded.
+    the times fall into bursts between such gaps, and only a burst is followed
+    from opening to opening: the one part that a key's own order makes serial.
     """
     w = Window.partitionBy(key).orderBy(t)
     gap = F.coalesce(F.col(t) - F.lag(t).over(w) >= step, F.lit(True))
     bursts = rows.select(key, t).distinct().withColumn("_gap", gap.cast("int")).withColumn("_burst", F.sum("_gap").over(w))
     times = bursts.groupBy(key, "_burst").agg(F.array_sort(F.collect_list(t)).alias("all"), F.first(step).alias("_step"))
-    none = F.expr("cast(array() as array<bigint>)")
-    opens = F.aggregate("all", none, lambda a, x: F.when((F.size(a) == 0) | (x >= F.try_element_at(a, F.lit(-1)) + F.col("_step")), F.concat(a, F.array(x))).otherwise(a))
-    return times.select(key, F.explode(opens).alias(t))
+
+    @F.pandas_udf("array<bigint>")
+    def opens(every: pd.Series, steps: pd.Series) -> pd.Series:
+        def one(ts, step):
+            # from each opening straight to the first time that is late enough
+            out, at = [], 0
+            while at < len(ts):
+                out.append(int(ts[at]))
+                at = int(np.searchsorted(ts, ts[at] + step))
+            return out
+
+        return pd.Series([one(ts, step) for ts, step in zip(every, steps, strict=True)])
+
+    return times.select(key, F.explode_outer(opens("all", "_step")).alias(t))
 
 
 def pop_order(queue: DataFrame) -> DataFrame:

@@ -139,3 +139,23 @@ def test_report_lines_are_those_of_the_reports(spark, tmp_path):
     reports.save_reports(df, str(tmp_path / "s"), "2026-01-01")
     parts = sorted((tmp_path / "s" / "file=ai.md").glob("part-*"))
     assert "".join(p.read_text(encoding="utf-8") for p in parts).rstrip("\n") == want["ai.md"].rstrip("\n")
+
+
+def test_loose_answers_are_read(spark):
+    from kalendria.functions import jsonx
+
+    rows = ["{a: 'x', // why\n 'b': 12, /* no */ c: \"it's http://u\"}", "{'a': \"O'Brien\",}", "{a: 'x' 'y'}", "none"]
+    got = spark.createDataFrame([(r,) for r in rows], "raw string").select(jsonx.repaired_json_text(F.col("raw")).alias("j")).collect()
+    assert [json.loads(r["j"]) if r["j"] else None for r in got] == [{"a": "x", "b": 12, "c": "it's http://u"}, {"a": "O'Brien"}, None, None]
+
+
+def test_a_host_that_never_pauses(spark):
+    rows = [(i, f"http://h.org/{i}", i) for i in range(0, 50_000, 7)]
+    df = spark.createDataFrame(rows, "seq long, url string, s long").withColumn("ts", F.timestamp_seconds("s"))
+    got = sorted(r["seq"] for r in queue.rate_gate(df, 10.0).filter("allowed").collect())
+    want, last = [], None
+    for s in range(0, 50_000, 7):
+        if last is None or s >= last + 10:
+            want.append(s)
+            last = s
+    assert got == want
