@@ -27,10 +27,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kalendria.llm.support import broadcast_if_small, fold_ascii, staged
+from kalendria.llm.support import broadcast_if_small, drop, fold_ascii, staged
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Rows up to which fingerprints of the benchmark, or hits by document, are broadcast.
+#: Rows up to which fingerprints of the benchmark, or candidates of documents, are broadcast.
 BROADCAST_ROWS = 100_000
 #: A fingerprint is one long: 36 bits of hash, a flag, 27 bits of position (no array of words can be longer).
 POSITION_BITS = 28
@@ -113,12 +113,15 @@ def find_leaks(
         )
     )
 
+    drop(test)
+
     # exact check: the documents with candidates meet their own words again, and those of the items
     hits = base.filter(F.size("cand") > 0).select(F.col("doc_id").alias("_d"), F.col("tkey").alias("_t"), "cand")
     on = lambda d, t: F.col(d).eqNullSafe(F.col("_d")) & F.col(t).eqNullSafe(F.col("_t"))
     longest = bench.agg(F.max(F.size("item_words"))).first()[0] or 0
+    n_hits = hits.agg(F.sum(F.size("cand"))).first()[0] or 0
     faced = (
-        keyed.join(broadcast_if_small(hits, hits.count(), BROADCAST_ROWS), on("doc_id", "tkey"))
+        keyed.join(broadcast_if_small(hits, n_hits, BROADCAST_ROWS), on("doc_id", "tkey"))
         .select("_d", "_t", words_of(F.col("text")).alias("words"), "cand")
         .select("_d", "_t", F.transform("cand", lambda c: F.struct(c["ikey"].alias("ikey"), c["diag"].alias("diag"), F.slice("words", F.greatest(c["diag"], F.lit(0)) + 1, F.lit(longest)).alias("facing"))).alias("cand"))
         .select("_d", "_t", F.explode_outer("cand").alias("c"))

@@ -122,8 +122,8 @@ def retained(docs: DataFrame, window: int, k: int, text_col: str, id_col: str) -
 CONTEXT = "g bigint, ext bigint, least int, most int, follows binary, precedes binary"
 
 
-def contexts(docs: DataFrame, asked: DataFrame, window: int, text_col: str, id_col: str) -> DataFrame:
-    """The stretches of ``asked`` (g, ext, at) as words: from the suffix on, and before it from right to left.
+def contexts(docs: DataFrame, asked: DataFrame, n: int, window: int, text_col: str, id_col: str) -> DataFrame:
+    """The ``n`` stretches of ``asked`` (g, ext, at) as words: from the suffix on, and before it from right to left.
 
     A window lies ``least`` to ``most`` words before the suffix.
     """
@@ -147,7 +147,9 @@ def contexts(docs: DataFrame, asked: DataFrame, window: int, text_col: str, id_c
                 yield pa.RecordBatch.from_arrays([flat.field("g"), flat.field("ext"), pa.array(pos - hi), pa.array(pos - lo), pa.array(follows), pa.array(precedes)], ["g", "ext", "least", "most", "follows", "precedes"])
 
     # repeated rows give the same stretches again
-    return met.mapInArrow(run, CONTEXT).dropDuplicates(["g", "ext"])
+    out = staged(met.mapInArrow(run, CONTEXT).dropDuplicates(["g", "ext"]), n, CONTEXT_ROWS)
+    drop(by_doc)
+    return out
 
 
 def shared(a: bytes, b: bytes) -> int:
@@ -177,8 +179,8 @@ FOUND = "g bigint, ext bigint, bits bigint, after int, before int"
 FIELDS = ["g", "ext", "least", "most", "follows", "precedes"]
 
 
-def neighbours(rows: DataFrame, first: str, second: str, window: int, n: int) -> DataFrame:
-    """(g, ext, bits, after, before) from comparing ``n`` rows that stand side by side by suffix, ``first`` and ``second`` context."""
+def neighbours(rows: DataFrame, first: str, second: str, window: int, n: int) -> tuple[DataFrame, DataFrame]:
+    """(g, ext, bits, after, before), and the table behind it, from comparing ``n`` rows that stand side by side by suffix, ``first`` and ``second`` context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, last, top = TaskContext.get().partitionId(), None, None
@@ -213,7 +215,7 @@ def neighbours(rows: DataFrame, first: str, second: str, window: int, n: int) ->
     in_order = [sorted(edges[p], key=lambda e: (e["g"], e[first], e[second])) for p in sorted(edges)]
     across = [x for a, b in zip(in_order, in_order[1:], strict=False) for x in compared(a[-1], b[0], window)]
     inside = out.filter(F.col("border").isNull()).drop("border")
-    return inside.unionByName(rows.sparkSession.createDataFrame(across, FOUND))
+    return inside.unionByName(rows.sparkSession.createDataFrame(across, FOUND)), out
 
 
 def find_repeats(docs: DataFrame, window: int = 50, k: int = 16, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -232,9 +234,10 @@ def find_repeats(docs: DataFrame, window: int = 50, k: int = 16, text_col: str =
     # different stretches with one beginning: neighbours by what follows and by what goes before
     asked = live.filter(F.col("kinds") > 1)
     n = asked.count()
-    rows = staged(contexts(docs, asked, window, text_col, id_col), n, CONTEXT_ROWS)
-    both = neighbours(rows, "follows", "precedes", window, n).unionByName(neighbours(rows, "precedes", "follows", window, n))
-    settled = both.groupBy("g", "ext").agg(F.bit_or("bits").alias("bits"), F.max("after").alias("after"), F.max("before").alias("before"))
+    rows = contexts(docs, asked, n, window, text_col, id_col)
+    after, after_table = neighbours(rows, "follows", "precedes", window, n)
+    before, before_table = neighbours(rows, "precedes", "follows", window, n)
+    settled = after.unionByName(before).groupBy("g", "ext").agg(F.bit_or("bits").alias("bits"), F.max("after").alias("after"), F.max("before").alias("before"))
     settled = staged(rows.join(settled, ["g", "ext"]).withColumn("may", _bits(F.greatest("least", window - F.col("after"), F.lit(0)), F.least("most", "before"))), n, CONTEXT_ROWS)
 
     # windows that no neighbour settles and no bound rules out, against all of their group that may repeat
@@ -250,7 +253,7 @@ def find_repeats(docs: DataFrame, window: int = 50, k: int = 16, text_col: str =
     found = hit.groupBy(F.col("doc_id").alias("_d"), F.col("tkey").alias("_t")).agg(F.collect_set(packed).alias("packed")).mapInArrow(_spans(window), f"_d {every.schema['doc_id'].dataType.simpleString()}, _t bigint, spans {SPANS}")
     base = every.filter(F.col("pos") < 0).select("doc_id", "tkey", F.col("lo").cast("long").alias("n_words"))
     out = base.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("tkey").eqNullSafe(F.col("_t")), "left")
-    drop(exts, live, rows, settled, opened)
+    drop(exts, live, rows, after_table, before_table, settled, opened)
     return out.select("doc_id", "n_words", F.coalesce("spans", F.expr(f"cast(array() as {SPANS})")).alias("spans"))
 
 
