@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import zipfile
@@ -32,4 +33,5 @@ def ship(spark: SparkSession) -> SparkSession:
                 z.write(f, f.relative_to(root.parent))
         sc.addPyFile(os.path.realpath(path))
         _SHIPPED[sc.applicationId] = path
+        atexit.register(Path(path).unlink, missing_ok=True)  # the file server reads it while the context lives
     return spark
