@@ -174,5 +174,5 @@ def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text", id_col
     """The rows of ``docs`` in whose text no window of an item occurs."""
     found = find_leaks(docs, items, text_col=text_col, id_col=id_col, **options).filter(F.size("spans") > 0)
     bad = staged(found.select(F.col("doc_id").alias("_id"), F.col("tkey").alias("_tkey")))
-    on = docs[id_col].eqNullSafe(F.col("_id")) & F.xxhash64(docs[text_col]).eqNullSafe(F.col("_tkey"))
+    on = docs[id_col].eqNullSafe(bad["_id"]) & F.xxhash64(docs[text_col]).eqNullSafe(bad["_tkey"])
     return docs.join(broadcast_if_small(bad, bad.count(), BROADCAST_ROWS), on, "left_anti")

@@ -293,9 +293,10 @@ def one_a_group(docs: DataFrame, found: DataFrame, text_col: str, id_col: str) -
     named = found.groupBy(F.col("doc_id").alias("_id"), F.col("tkey").alias("_tkey")).agg(F.count(F.lit(1)).alias("_n"), F.bool_or(stands).alias("_stays"))
     odd = staged(named.filter(~F.col("_stays") | (F.col("_n") > 1)))
     twice = odd.filter("_stays")
-    on = docs[id_col].eqNullSafe(F.col("_id")) & F.xxhash64(docs[text_col]).eqNullSafe(F.col("_tkey"))
-    plain = docs.join(broadcast_if_small(odd, odd.count(), BROADCAST_ROWS), on, "left_anti")
-    again = docs.join(broadcast_if_small(twice, twice.count(), BROADCAST_ROWS), on, "left_semi")
+    # the columns are asked of their tables: documents may have columns of the same names
+    on = lambda keys: docs[id_col].eqNullSafe(keys["_id"]) & F.xxhash64(docs[text_col]).eqNullSafe(keys["_tkey"])
+    plain = docs.join(broadcast_if_small(odd, odd.count(), BROADCAST_ROWS), on(odd), "left_anti")
+    again = docs.join(broadcast_if_small(twice, twice.count(), BROADCAST_ROWS), on(twice), "left_semi")
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     first = again.groupBy(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).agg(F.min_by(row, F.to_json(row)).alias("_row"))
     return plain.unionByName(first.select("_row.*"))

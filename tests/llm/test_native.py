@@ -171,3 +171,25 @@ def test_map_versions_are_edits(spark, tmp_path):
         load[b[r["vslot"]]] += r["bytes"]
     assert set(load) == set(range(5)) and max(load.values()) - min(load.values()) < 0.05 * sum(load.values()) / 5
     assert sharding.assign_shards(docs.limit(0), 3).count() == 0
+
+
+def test_packing_against_a_recount(spark, tmp_path):
+    docs = spark.range(900).select(F.col("id").alias("doc_id"), F.expr("repeat('x', cast(id * id % 211 as int))").alias("text"))
+    weights = sharding.slot_weights(sharding.with_slot(docs, 64), 64)
+    m = sharding.SlotMap(spark, str(tmp_path / "map"), 64)
+    m.create(5)
+    m.rebalance(weights, 5)
+    size, shard = {r["vslot"]: r["bytes"] for r in weights.collect()}, {s: s % 5 for s in range(64)}
+    share, load, moved = sum(size.values()) / 5, [0] * 5, []
+    for k in range(5):
+        upto = 0
+        for s in sorted((s for s in shard if shard[s] == k), key=lambda s: (-size[s], s)):
+            upto += size[s]
+            if upto <= share:
+                load[k] += size[s]
+            else:
+                moved.append(s)
+    for s in sorted(moved, key=lambda s: (size[s], s), reverse=True):
+        shard[s] = load.index(min(load))
+        load[shard[s]] += size[s]
+    assert {r["vslot"]: r["shard"] for r in m.read().collect()} == shard

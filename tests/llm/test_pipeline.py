@@ -55,3 +55,37 @@ def test_stages_take_empty_tables(spark, tmp_path):
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_run_against_brute_force(spark, tmp_path):
+    """Every stage recomputed without its operator's search: pairs of shingle sets, windows one by one, spans and ids text by text."""
+    from test_native import brute_leaks
+    from test_near_copies import brute, edited
+
+    from kalendria.llm import secrets
+
+    docs, items = corpus()
+    r = random.Random(12)
+    docs += [(1000 + i, edited(r, docs[i][1].split(), i % 25), "en", "s", 1) for i in range(60)]
+    docs += [(2000 + i, f"{docs[100 + i][1]} the bearer Zk3vQ9xW2mT7pL5rB8nY4cD{i}6", "en", "s", 1) for i in range(20)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = sorted((d[0], d[1]) for d in docs if d[1] and any(c.isalpha() for c in d[1]))
+    roots = brute([t for _, t in left])
+    left = [x for i, x in enumerate(left) if roots[i] == i]
+    left = [(i, t) for i, t in left if not brute_leaks(t, items)[4]]
+    meter, codec = secrets.Novelty(), PieceCodec.load(DEFAULT_MODEL)
+    want = {i: codec.encode(secrets.redacted(t, secrets.spans_of(t, meter))) for i, t in left}
+    assert {x["doc_id"]: x["pieces"] for x in corpus_pipeline.run(spark, str(tmp_path)).collect()} == want
+
+
+def test_stages_pass_clashing_columns_on(spark, tmp_path):
+    names = ["_id", "_tkey", "tkey", "who", "node", "spans", "pieces", "component_id", "_n", "_row", "_stays", "cand", "p"]
+    rows = [(i % 9 if i % 5 else None, f"words of one text {i % 7} and some others", "en", "s", 1, *[i] * len(names)) for i in range(40)]
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    now = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} long" for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, now, str(tmp_path))
+        assert out.columns == now.columns, name
+        now = spark.createDataFrame(out.collect(), out.schema)
+    assert 0 < now.count() < 40
