@@ -31,6 +31,8 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kalendria.llm.support import lean
+
 # Language families; a language not listed is a family of its own.
 FAMILIES = {
     "germanic": "en de nl sv da no is af".split(),
@@ -209,7 +211,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", id_c
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], ["doc_id", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
+    return rows.mapInArrow(lean(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_col: str = "lang", least_score: float = 0.0) -> DataFrame:
@@ -222,4 +224,4 @@ def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text
             named = b.set_column(lang_at, b.schema.field(lang_at), pa.array([g[0] for g in got], b.schema.field(lang_at).type))
             yield named.filter(pa.array([g[0] != UNKNOWN and g[1] >= least_score for g in got], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

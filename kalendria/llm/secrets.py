@@ -27,6 +27,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kalendria.llm.support import lean
+
 KINDS = ("assign", "access", "hex", "novel")
 
 # The base patterns and their least lengths.
@@ -180,4 +182,4 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", threshold: float = N
             new = [t if not (t and (s := spans_of(t, meter, threshold))) else redacted(t, s, mark) for t in texts]
             yield b.set_column(at, b.schema.field(at), pa.array(new, b.schema.field(at).type))
 
-    return docs.mapInArrow(redact, docs.schema)
+    return docs.mapInArrow(lean(redact), docs.schema)

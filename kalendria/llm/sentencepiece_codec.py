@@ -23,23 +23,25 @@ among them, decode as U+FFFD.
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kalendria.llm.support import lean
+
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 NO_TEXT = "\ufffd".encode()
-#: How far the score of a byte is below the least score of a piece, and words kept by a worker's cache.
+#: How far the score of a byte is below the least score of a piece, and words of a generation of a worker's cache.
 BYTE_PENALTY = 10.0
-CACHE = 250_000
+CACHE = 120_000
 #: Blanks and the word behind them.
-CHUNK = regex.compile(r"▁+[^▁]*|[^▁]+")
+CHUNK = re.compile(r"▁+[^▁]*|[^▁]+")
 
 
 class PieceCodec:
@@ -56,7 +58,10 @@ class PieceCodec:
         for p, (i, score) in pieces.items():
             self.automaton.add_word(p, (len(p), i, score))
         self.automaton.make_automaton()
-        self.cache: dict[str, tuple[int, ...]] = {}
+        #: ids of words as bytes, in two generations: what is asked for again outlives a full one
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.blank = np.array([byte_ids[c] for c in BLANK.encode()], np.int32).tobytes()
 
     @classmethod
     def load(cls, path: str) -> PieceCodec:
@@ -100,37 +105,45 @@ class PieceCodec:
         out.reverse()
         return tuple(out)
 
-    def segment(self, chunk: str) -> tuple[int, ...]:
+    def segment(self, chunk: str) -> bytes:
         """As :meth:`viterbi`, in parts: no piece spans two characters that stand side by side in no piece."""
-        joins, cache = self.joins, self.cache
+        joins = self.joins
         cuts = [i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in joins]
-        out: list[int] = []
+        out: list[bytes] = []
         for a, b in zip([0, *cuts], [*cuts, len(chunk)], strict=True):
             part = chunk[a:b]
-            ids = cache.get(part)
-            out.extend(self.keep(part, self.viterbi(part)) if ids is None else ids)
-        return self.keep(chunk, tuple(out))
+            ids = self.known(part) if cuts else None
+            out.append(self.keep(part, np.array(self.viterbi(part), np.int32).tobytes()) if ids is None else ids)
+        return self.keep(chunk, b"".join(out)) if cuts else out[0]
+
+    def known(self, chunk: str) -> bytes | None:
+        ids = self.cache.get(chunk)
+        if ids is None and (ids := self.older.get(chunk)) is not None:
+            self.keep(chunk, ids)
+        return ids
 
-    def keep(self, chunk: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+    def keep(self, chunk: str, ids: bytes) -> bytes:
         if len(chunk) <= 64:
             if len(self.cache) >= CACHE:
-                self.cache.clear()
+                self.older, self.cache = self.cache, {}
             self.cache[chunk] = ids
         return ids
 
-    def encode(self, text: str) -> list[int]:
+    def encode_bytes(self, text: str) -> bytes:
+        """The ids of a text, four bytes each."""
         if not text:
-            return []
-        out: list[int] = []
-        cache, literal = self.cache, BLANK in text
+            return b""
+        out: list[bytes] = []
+        literal = BLANK in text
         # a blank of the text's own is kept apart from those that stand for spaces
         for k, part in enumerate(text.split(BLANK) if literal else [text]):
             if k:
-                out.extend(self.byte_ids[c] for c in BLANK.encode())
-            for chunk in CHUNK.findall(("" if k else BLANK) + part.replace(" ", BLANK)):
-                ids = cache.get(chunk)
-                out.extend(self.segment(chunk) if ids is None else ids)
-        return out
+                out.append(self.blank)
+            out += [self.known(chunk) or self.segment(chunk) for chunk in CHUNK.findall(("" if k else BLANK) + part.replace(" ", BLANK))]
+        return b"".join(out)
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.encode_bytes(text), np.int32).tolist()
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids. What is no text, ids outside the vocabulary and bytes that are no UTF-8, shows as U+FFFD."""
@@ -154,16 +167,16 @@ def encode_pieces(docs: DataFrame, model_path: str = DEFAULT_MODEL, text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path)
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
                 texts = part.column(1).to_pylist()
-                ids = [None if t is None else c.encode(t) for t in texts]
-                same = [None if t is None or not check else c.decode(i) == t for t, i in zip(texts, ids, strict=True)]
-                packed = pa.array([None if i is None else np.array(i, np.int32) for i in ids], pa.list_(pa.int32()))
+                ids = [None if t is None else c.encode_bytes(t) for t in texts]
+                same = [None if t is None or not check else c.decode(np.frombuffer(i, np.int32).tolist()) == t for t, i in zip(texts, ids, strict=True)]
+                packed = pa.array([None if i is None else np.frombuffer(i, np.int32) for i in ids], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column(0), packed, pa.array(same, pa.bool_())], ["doc_id", "pieces", "round_trip"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, pieces array<int>, round_trip boolean")
+    return rows.mapInArrow(lean(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, pieces array<int>, round_trip boolean")
 
 
 def decode_pieces(encoded: DataFrame, model_path: str = DEFAULT_MODEL, pieces_col: str = "pieces", id_col: str = "doc_id") -> DataFrame:
