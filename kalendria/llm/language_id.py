@@ -8,8 +8,9 @@ then, inside the family, one-against-one machines tell its languages apart.
 Fitting uses at most ``PER_LANGUAGE`` labelled rows of each language (fewer where
 that would come to more than ``SAMPLE_ROWS`` in all), those with the least hashes
 of id and text, repeated rows once. Their n-gram counts are taken where the rows
-are, so the driver gets ``BUCKETS`` numbers a row at most, however long the texts;
-prediction reads every row and the whole text. The model is a matrix of 64 KB for
+are, so the driver gets ``BUCKETS`` numbers a row at most, however long the texts,
+and holds them without their zeros; the machines are fitted on the products of
+rows. Prediction reads every row and the whole text. The model is a matrix of 64 KB for
 each pair of families and of languages inside a family, which travels with the task.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; ids
@@ -22,8 +23,8 @@ always; ties go to the language that sorts first; extra columns are not read.
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
-from itertools import combinations
+from collections.abc import Iterable, Iterator
+from itertools import combinations, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,8 @@ LETTER = regex.compile(r"\p{L}")
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c) in string.ascii_lowercase else 32 for c in range(256))
 SPACES = regex.compile(rb" {2,}")
 PIECE = 1 << 20
+#: Buckets of all rows, and rows, whose products are taken at once.
+COLUMNS, ROWS = 512, 512
 
 
 def buckets(text: str) -> Iterator[np.ndarray]:
@@ -72,23 +75,84 @@ def profile(text: str) -> np.ndarray:
     return total / max(1.0, total.sum())
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray, rounds: int = 200, c: float = 10.0) -> tuple[np.ndarray, float]:
-    """Weights and bias under L2-regularised squared hinge loss, y in {-1, 1}; accelerated gradient steps."""
-    n, d = x.shape
+class Profiles:
+    """Profiles of texts without their zeros: row i has ``share`` in the buckets ``at``, from ``starts[i]`` to ``starts[i + 1]``."""
+
+    def __init__(self, starts: np.ndarray, at: np.ndarray, share: np.ndarray):
+        self.starts, self.at, self.share = starts, at, share
+
+    def __len__(self) -> int:
+        return len(self.starts) - 1
+
+    @classmethod
+    def of(cls, rows: Iterable[np.ndarray]) -> Profiles:
+        found = [(at := np.flatnonzero(p).astype(np.int32), p[at]) for p in rows]
+        starts = np.cumsum([0, *(len(at) for at, _ in found)])
+        return cls(starts, np.concatenate([np.zeros(0, np.int32), *(x[0] for x in found)]), np.concatenate([np.zeros(0, np.float32), *(x[1] for x in found)]))
+
+    def scales(self) -> np.ndarray:
+        """For each bucket one over the root of its mean share."""
+        mean = np.bincount(self.at, self.share, BUCKETS) / max(1, len(self))
+        return (1 / np.sqrt(mean + 1e-6)).astype(np.float32) if len(self) else np.ones(BUCKETS, np.float32)
+
+    def times(self, v: np.ndarray) -> np.ndarray:
+        """The product of each row with a vector over the buckets."""
+        out = np.zeros(len(self), np.float32)
+        for i, (a, b) in enumerate(pairwise(self.starts)):
+            out[i] = self.share[a:b] @ v[self.at[a:b]]
+        return out
+
+    def summed(self, rows: slice, weights: np.ndarray) -> np.ndarray:
+        """The weighted sum of some rows."""
+        total = np.zeros(BUCKETS, np.float64)
+        for i, w in zip(range(rows.start, rows.stop), weights, strict=True):
+            a, b = self.starts[i : i + 2]
+            total[self.at[a:b]] += w * self.share[a:b]
+        return total
+
+    def products(self, scale: np.ndarray) -> np.ndarray:
+        """The products of all pairs of rows, scaled; some buckets of all rows are spread out at once."""
+        n = len(self)
+        row = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.starts))
+        out = np.zeros((n, n), np.float32)
+        for lo in range(0, BUCKETS, COLUMNS):
+            held = np.flatnonzero((self.at >= lo) & (self.at < lo + COLUMNS))
+            some = np.zeros((n, COLUMNS), np.float32)
+            some[row[held], self.at[held] - lo] = self.share[held] * scale[self.at[held]]
+            for i in range(0, n, ROWS):
+                out[i : i + ROWS, : i + ROWS] += some[i : i + ROWS] @ some[: i + ROWS].T
+        for i in range(0, n, ROWS):
+            out[:i, i : i + ROWS] = out[i : i + ROWS, :i].T
+        return out
+
+
+def linear_svm(k: np.ndarray, parts: list[slice], y: np.ndarray, first: np.ndarray, rounds: int = 200, c: float = 10.0) -> tuple[np.ndarray, float]:
+    """What each row of ``parts`` adds to the weights, and the bias, under L2-regularised squared hinge loss, y in {-1, 1}.
+
+    Accelerated gradient steps. Weights are sums of rows all the way, so that the
+    products ``k`` of the rows are all that is needed. ``first`` starts the search
+    for their largest eigenvalue.
+    """
+    n = len(y)
+    ends = np.cumsum([0, *(p.stop - p.start for p in parts)])
+
+    def times(u: np.ndarray) -> np.ndarray:
+        return np.concatenate([sum(k[p, q] @ u[a:b] for q, (a, b) in zip(parts, pairwise(ends), strict=True)) for p in parts])
+
     weight = np.where(y > 0, n / (2 * max(1, (y > 0).sum())), n / (2 * max(1, (y < 0).sum()))).astype(np.float32)
-    w, b = np.zeros(d, np.float32), 0.0
+    w, b = np.zeros(n, np.float32), 0.0
     v, vb = w.copy(), b
-    v0 = np.random.default_rng(0).standard_normal(d).astype(np.float32)
+    u = first
     for _ in range(20):
-        v0 = x.T @ (x @ v0)
-        v0 /= np.linalg.norm(v0) or 1
-    lipschitz = 1 + 2 * c / n * float(weight.max()) * (float(np.linalg.norm(x @ v0) ** 2) + n)
+        ku = times(u)
+        u = ku / (np.sqrt(max(0.0, float(u @ ku))) or 1)
+    lipschitz = 1 + 2 * c / n * float(weight.max()) * (float(u @ u) + n)
     for t in range(1, rounds + 1):
-        slack = np.maximum(0, 1 - y * (x @ v + vb)) * weight
-        gw, gb = v - (2 * c / n) * (x.T @ (y * slack)), -(2 * c / n) * float((y * slack).sum())
+        slack = np.maximum(0, 1 - y * (times(v) + vb)) * weight
+        gw, gb = v - (2 * c / n) * (y * slack), -(2 * c / n) * float((y * slack).sum())
         nw, nb = v - gw / lipschitz, vb - gb / lipschitz
-        k = (t - 1) / (t + 2)
-        v, vb, w, b = nw + k * (nw - w), nb + k * (nb - b), nw, nb
+        m = (t - 1) / (t + 2)
+        v, vb, w, b = nw + m * (nw - w), nb + m * (nb - b), nw, nb
     return w, b
 
 
@@ -107,21 +171,26 @@ class LanguageModel:
         self.bias = np.zeros(len(self.duels), np.float32)
 
     def fit(self, texts: list[str], labels: list[str]) -> LanguageModel:
-        return self.fit_profiles(np.stack([profile(t) for t in texts]) if texts else np.zeros((0, BUCKETS), np.float32), labels)
-
-    def fit_profiles(self, x: np.ndarray, labels: list[str]) -> LanguageModel:
-        """As :meth:`fit`, from the texts' profiles."""
-        scale = 1 / np.sqrt(x.mean(axis=0) + 1e-6) if len(x) else np.ones(BUCKETS, np.float32)
-        x *= scale
-        names = np.array(labels)
-        groups = np.array([self.family[lab] for lab in labels])
+        rows = sorted(zip(labels, texts, strict=True), key=lambda r: r[0])
+        return self.fit_profiles(Profiles.of(profile(t) for _, t in rows), [lab for lab, _ in rows])
+
+    def fit_profiles(self, x: Profiles, labels: list[str]) -> LanguageModel:
+        """As :meth:`fit`, from the texts' profiles, those of a language side by side."""
+        scale = x.scales()
+        k = x.products(scale)
+        first = x.times(scale * np.random.default_rng(0).standard_normal(BUCKETS).astype(np.float32))
+        names = np.array(labels, dtype=object)
+        parts = {lang: slice(int(at[0]), int(at[-1]) + 1) for lang in self.langs if len(at := np.flatnonzero(names == lang))}
         for i, (level, a, b) in enumerate(self.duels):
-            by = groups if level == "family" else names
-            rows = (by == a) | (by == b)
-            if not rows.any():
+            sides = {lang: 1.0 if (self.family[lang] if level == "family" else lang) == a else -1.0 for lang in parts if (self.family[lang] if level == "family" else lang) in (a, b)}
+            if not sides:
                 continue
-            w, bias = linear_svm(x[rows], np.where(by[rows] == a, 1.0, -1.0).astype(np.float32))
-            self.weights[:, i], self.bias[i] = w * scale, bias
+            own = [parts[lang] for lang in sides]
+            y = np.concatenate([np.full(p.stop - p.start, side, np.float32) for p, side in zip(own, sides.values(), strict=True)])
+            w, bias = linear_svm(k, own, y, np.concatenate([first[p] for p in own]))
+            ends = np.cumsum([0, *(p.stop - p.start for p in own)])
+            total = sum(x.summed(p, w[s:e]) for p, (s, e) in zip(own, pairwise(ends), strict=True))
+            self.weights[:, i], self.bias[i] = total * scale.astype(np.float64) ** 2, bias
         return self
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -196,10 +265,10 @@ def fit_languages(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
                 yield pa.RecordBatch.from_arrays(arrays, ["lang", "draw", "at", "share"])
 
     found = drawn.select("lang", "draw", "text").mapInArrow(count, "lang string, draw bigint, at array<int>, share array<float>").toArrow().sort_by([("lang", "ascending"), ("draw", "ascending")])
-    x = np.zeros((found.num_rows, BUCKETS), np.float32)
-    for row, (at, share) in enumerate(zip(found.column("at"), found.column("share"), strict=True)):
-        x[row, at.values.to_numpy()] = share.values.to_numpy()
-    return LanguageModel(langs, families).fit_profiles(x, found.column("lang").to_pylist())
+    rows = found.combine_chunks()
+    at, share = (c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in (rows.column("at"), rows.column("share")))
+    x = Profiles(at.offsets.to_numpy().astype(np.int64), at.values.to_numpy(), share.values.to_numpy())
+    return LanguageModel(langs, families).fit_profiles(x, rows.column("lang").to_pylist())
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
