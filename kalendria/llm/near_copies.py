@@ -1,25 +1,30 @@
-"""Near copies by exact Jaccard similarity of five-word shingles, for the pipeline's stage.
+"""Near copies through SimHash and vantage-point trees, by exact Jaccard similarity of five-word shingles, for the pipeline's stage.
 
 Two documents link when the sets of their word shingles have a Jaccard similarity
 of ``SIMILARITY`` or more; a component is named by the smallest id that links reach.
 
-Search: documents of one shingle set become one node. A node's least hashes under
-``BANDS * ROWS`` permutations make ``BANDS`` band values; nodes that share one meet
-(a pair at similarity 0.8 is missed with probability 3e-6, at 0.9 below 1e-12).
-In a band the nodes are put in order of their next band value, so that the most
-alike stand side by side, and neighbours are compared on their whole sets: a large
-group of copies costs a comparison a member and band. Bands whose members those
-links leave apart are then joined without loss by prefixes: with shingles in order
-from rare to frequent, two sets at ``SIMILARITY`` share one among the first
-``n - ceil(0.8 n) + 1`` of either, and the places at which they share it bound how
-much they can have in common. Only pairs of different components are compared.
-
-Size: band values are dealt out for all nodes, sets only for nodes that share a
-band. A band of more than ``CHAIN`` nodes is ordered in salted parts whose first
-members make a chain of their own. In the join by prefixes the members of the
-component that is most frequent under a shingle are not compared with each other.
-What stays quadratic is a group of texts that share their *rarest* shingles and yet
-are less alike than ``SIMILARITY``.
+Search: documents of one shingle set become one node with the SimHash fingerprint of
+that set. The vantage-point trees of :mod:`simhash` find the fingerprints that agree
+within ``RADIUS`` bits, as pairs that span their groups; nodes of one fingerprint are
+compared with their neighbours. Each such pair is a link if the whole sets are alike
+enough. Texts at a similarity of 0.8 differ in about 10 of 64 bits, where the triangle
+bound rules nothing out, so what the trees leave apart is looked up once more: a node's
+least hashes under ``BANDS * ROWS`` permutations make ``BANDS`` band values, and nodes
+that share one meet (a pair at similarity 0.8 is missed with probability 3e-6, at 0.9
+below 1e-12). In a band whose members lie in several components, nodes are put in order
+of their next band value, so that the most alike stand side by side, and neighbours of
+different components are compared on their whole sets. Bands that are still apart are
+joined without loss by prefixes: with shingles in order from rare to frequent, two sets
+at ``SIMILARITY`` share one among the first ``n - ceil(0.8 n) + 1`` of either, and the
+places at which they share it bound how much they can have in common. Only pairs of
+different components are compared.
+
+Size: each distinct fingerprint is dealt 15 times, band values are dealt out for all
+nodes, sets only for nodes that share a band or that the trees pair. A band of more
+than ``CHAIN`` nodes is ordered in salted parts whose first members make a chain of
+their own. In the join by prefixes the members of the component that is most frequent
+under a shingle are not compared with each other. What stays quadratic is a group of
+texts that share their *rarest* shingles and yet are less alike than ``SIMILARITY``.
 
 Edge cases: words are cut and folded as for SimHash; fewer words than a shingle
 make one shingle; null and empty texts, and those of white space, have the empty
@@ -36,6 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kalendria.llm import simhash
 from kalendria.llm.simhash import BROADCAST_ROWS, one_a_group
 from kalendria.llm.support import broadcast_if_small, drop, lean, staged
 from kalendria.plans.components import components
@@ -44,6 +50,10 @@ SEED = 42
 SHINGLE = 5
 #: Least similarity of a link, as a fraction of whole numbers.
 SIMILARITY = (4, 5)
+#: Bits in which fingerprints of a pair differ at most.
+RADIUS = 4
+#: Edges up to which one task finds the components.
+ONE_TASK = 262_144
 BANDS, ROWS = 32, 5
 #: Nodes of a band that one task orders, about.
 CHAIN = 65_536
@@ -87,12 +97,20 @@ def bands(found: np.ndarray) -> np.ndarray:
     return _mixed((least * _BAND).reshape(BANDS, ROWS).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
 
 
+def fingerprint(found: np.ndarray) -> int:
+    """The unsigned SimHash of a set of hashes: the bits set in over half of them; 0 for the empty set."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(found), simhash.SLICE):
+        ones += np.unpackbits(found[at : at + simhash.SLICE].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(found), bitorder="little").view("<u8")[0])
+
+
 def _node(found: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(found.tobytes(), SEED)
 
 
 def prints(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """(doc_id, tkey, node, n, bands) for each row: the text's hash, its shingle set's hash, size and band values."""
+    """(doc_id, tkey, node, n, fp, bands) for each row: the text's hash, its shingle set's hash, size, fingerprint and band values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -101,11 +119,12 @@ def prints(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
                 sets = [shingles(x.as_py()) for x in part.column(2)]
                 node = np.array([_node(s) for s in sets], dtype=np.uint64).view(np.int64)
                 n = np.array([len(s) for s in sets], dtype=np.int32)
+                fp = np.array([fingerprint(s) for s in sets], dtype=np.uint64).view(np.int64)
                 banded = pa.array([bands(s).view(np.int64) for s in sets], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(node, pa.int64()), pa.array(n, pa.int32()), banded], ["doc_id", "tkey", "node", "n", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(fp, pa.int64()), banded], ["doc_id", "tkey", "node", "n", "fp", "bands"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("tkey"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(lean(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, tkey bigint, node bigint, n int, bands array<bigint>")
+    return rows.mapInArrow(lean(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, tkey bigint, node bigint, n int, fp bigint, bands array<bigint>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, text_col: str, id_col: str, many: int | None = None) -> DataFrame:
@@ -141,22 +160,70 @@ def _alike_in_size(n: str, m: str) -> Column:
     return F.least(n, m) * down >= F.greatest(n, m) * up
 
 
+def _dealt(banded: DataFrame) -> DataFrame:
+    """``banded`` (node, n, band, next) where a band has several nodes, with their number and a salted part of the band."""
+    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    return banded.join(shared, "band").withColumn("salt", F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / CHAIN)))
+
+
 def _chained(dealt: DataFrame) -> DataFrame:
-    """(a, b): neighbours in the bands of ``dealt`` (node, n, band, next, m, salt)."""
-    follow = lambda rows, w: rows.select("node", "n", F.lead("node").over(w).alias("node2"), F.lead("n").over(w).alias("n2"))
+    """(a, b): neighbours of different roots in the bands of ``dealt`` (node, n, root, band, next, m, salt)."""
+    follow = lambda rows, w: rows.select("node", "n", "root", *(F.lead(c).over(w).alias(f"{c}2") for c in ("node", "n", "root")))
     inside = follow(dealt, Window.partitionBy("band", "salt").orderBy("next", "node"))
-    heads = dealt.filter(F.col("m") > CHAIN).groupBy("band", "salt").agg(F.min(F.struct("node", "n")).alias("h")).select("band", "salt", "h.node", "h.n")
+    heads = dealt.filter(F.col("m") > CHAIN).groupBy("band", "salt").agg(F.min(F.struct("node", "n", "root")).alias("h")).select("band", "salt", "h.*")
     across = follow(heads, Window.partitionBy("band").orderBy("salt"))
-    met = inside.unionByName(across).filter(F.col("node2").isNotNull() & (F.col("node") != F.col("node2")) & _alike_in_size("n", "n2"))
+    met = inside.unionByName(across).filter(F.col("node2").isNotNull() & (F.col("root") != F.col("root2")) & _alike_in_size("n", "n2"))
     return met.select(*_ordered("node", "node2")).distinct()
 
 
+def _tree_pairs(nodes: DataFrame, n: int) -> DataFrame:
+    """(a, b): nodes whose fingerprints agree within ``RADIUS`` bits, enough of them to span each group of such fingerprints."""
+    fps = staged(nodes.groupBy("fp").agg(F.min(F.struct("node", "n")).alias("one")).select("fp", "one.node", "one.n"), n)
+    found = staged(simhash.link_edges(fps, fps.count(), RADIUS, direct=True), n)
+    left, right = (fps.select(F.col("fp").alias(x), F.col("node").alias(f"node{x}"), F.col("n").alias(f"n{x}")) for x in "ab")
+    across = found.join(left, "a").join(right, "b").filter(_alike_in_size("na", "nb")).select(*_ordered("nodea", "nodeb"))
+    same = _dealt(nodes.select("node", "n", F.col("fp").alias("band"), F.get("bands", F.lit(0)).alias("next")))
+    pairs = staged(across.unionByName(_chained(same.withColumn("root", F.col("node")))).distinct(), n)
+    drop(fps, found)
+    return pairs
+
+
+def _least(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ends of the edges (a, b), each once, and the least id of the component of each."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y, up = at[: len(a)], at[len(a) :], np.arange(len(ids))
+    while True:
+        new, low = up.copy(), np.minimum(up[x], up[y])
+        np.minimum.at(new, up[x], low)
+        np.minimum.at(new, up[y], low)
+        while not np.array_equal(far := new[new], new):
+            new = far
+        if np.array_equal(new, up):
+            return ids, ids[up]
+        up = new
+
+
+def _labels(edges: DataFrame) -> DataFrame:
+    """(node, root) for every end of an edge: up to ``ONE_TASK`` edges in one task, more round by round, which asks the driver for many more jobs."""
+    many = edges.count()
+    if many > ONE_TASK:
+        return components(edges).select(F.col("id").alias("node"), "root")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+        if found:
+            node, root = _least(*(np.concatenate(x) for x in zip(*found, strict=True)))
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], ["node", "root"])
+
+    return staged(edges.select("a", "b").coalesce(1).mapInArrow(lean(run), "node bigint, root bigint"), many * 2)
+
+
 def _apart(dealt: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, n, root) for the members of the bands that links have not joined into one component."""
-    labels = components(edges).select(F.col("id").alias("node"), "root")
+    """``dealt`` with roots, where links have not joined the members of a band into one component."""
+    labels = _labels(edges)
     named = dealt.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = named.groupBy("band").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).filter("_lo <> _hi").select("band")
-    return named.join(open_, "band", "left_semi").select("node", "n", "root").distinct()
+    return named.join(open_, "band", "left_semi")
 
 
 def _prefixed(nodes: DataFrame, sets: DataFrame) -> DataFrame:
@@ -186,20 +253,22 @@ def _prefixed(nodes: DataFrame, sets: DataFrame) -> DataFrame:
 
 def link_edges(docs: DataFrame, nodes: DataFrame, text_col: str, id_col: str) -> DataFrame:
     """(a, b): linked nodes, enough of them to reach every member of a component."""
+    n = nodes.count()
+    close = _tree_pairs(nodes, n)
     following = F.get("bands", (F.col("j") + 1) % BANDS)
     banded = nodes.select("node", "n", "bands", F.posexplode("bands").alias("j", "band")).select("node", "n", "band", following.alias("next"))
-    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / CHAIN))
-    n = nodes.count()
-    dealt = staged(banded.join(shared, "band").withColumn("salt", salt))
-    wanted = staged(nodes.join(dealt.select("node").distinct(), "node", "left_semi").select(F.col("who.doc_id").alias("_id"), F.col("who.tkey").alias("_tkey")), n)
+    dealt = staged(_dealt(banded))
+    met = dealt.select("node").unionByName(close.select(F.col("a").alias("node"))).unionByName(close.select(F.col("b").alias("node"))).distinct()
+    wanted = staged(nodes.join(met, "node", "left_semi").select(F.col("who.doc_id").alias("_id"), F.col("who.tkey").alias("_tkey")), n)
     many = wanted.count()
     sets = staged(_sets(docs, wanted, text_col, id_col, many), many, SET_ROWS)
-    edges = staged(_links(_chained(dealt), sets), many * 2, SET_ROWS)
-    left = staged(_apart(dealt, edges), many)
+    edges = staged(_links(close, sets), many * 2, SET_ROWS)
+    more = staged(_links(_chained(_apart(dealt, edges)), sets), many * 2, SET_ROWS)
+    near = edges.unionByName(more)
+    left = staged(_apart(dealt, near).select("node", "n", "root").distinct(), many)
     pairs = _prefixed(left, sets)
-    out = staged(edges.unionByName(_links(pairs, sets)), many * 4, SET_ROWS)
-    drop(dealt, wanted, sets, edges, left, pairs)
+    out = staged(near.unionByName(_links(pairs, sets)), many * 4, SET_ROWS)
+    drop(close, dealt, wanted, sets, edges, more, left, pairs)
     return out
 
 
@@ -210,9 +279,9 @@ def near_copies(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id")
     same for all its members: one of least id, and among them of least text hash.
     """
     rows = staged(prints(docs, text_col, id_col))
-    nodes = staged(rows.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "tkey")).alias("who"), F.first("n").alias("n"), F.first("bands").alias("bands")), rows.count(), NODE_ROWS)
+    nodes = staged(rows.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "tkey")).alias("who"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), rows.count(), NODE_ROWS)
     edges = link_edges(docs, nodes, text_col, id_col)
-    labels = components(edges).select(F.col("id").alias("node"), "root")
+    labels = _labels(edges)
     rooted = nodes.join(labels, "node", "left").select("node", "rep", "who", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"), F.min("who").alias("who"))
     named = staged(rooted.drop("rep", "who").join(least, "root").select("node", "component_id", "who"), nodes.count())

@@ -177,9 +177,41 @@ class Forest:
         return len(r) == 0 or bool((r == r[0]).all())
 
 
+class Spanning(Forest):
+    """A forest that keeps the links which made it: of members to the last one, where they joined two trees."""
+
+    def __init__(self, n: int):
+        super().__init__(n)
+        self.made: list[tuple[int, int]] = []
+
+    def join(self, members: np.ndarray) -> None:
+        last, own, by = int(members[-1]), self.root(int(members[-1])), {}
+        heads, at = np.unique(self.up[members], return_index=True)
+        for head, i in zip(heads.tolist(), at.tolist(), strict=True):
+            by.setdefault(self.root(head), int(members[i]))
+        low = min(by)
+        for r, member in by.items():
+            self.up[r] = low
+            if r != own:
+                self.made.append((last, member))
+
+
 def local_links(fps: np.ndarray, own: np.ndarray, space: np.uint64, radius: int) -> np.ndarray:
     """Root of each fingerprint of a shard, by exact links in which one side is the shard's own and the bits of ``space`` are within reach."""
-    forest, part, near_by = Forest(len(fps)), fps & space, reach(radius)
+    forest = Forest(len(fps))
+    _search(forest, fps, own, space, radius)
+    return forest.flat()
+
+
+def local_pairs(fps: np.ndarray, own: np.ndarray, space: np.uint64, radius: int) -> np.ndarray:
+    """Of the links of :func:`local_links` as many pairs as join the same fingerprints; each pair is a link itself."""
+    forest = Spanning(len(fps))
+    _search(forest, fps, own, space, radius)
+    return np.array(forest.made, np.int64).reshape(-1, 2)
+
+
+def _search(forest: Forest, fps: np.ndarray, own: np.ndarray, space: np.uint64, radius: int) -> None:
+    part, near_by = fps & space, reach(radius)
 
     def outright(p: np.ndarray, q: np.ndarray) -> None:
         rows = max(1, (1 << 20) // max(1, len(q)))
@@ -215,11 +247,10 @@ def local_links(fps: np.ndarray, own: np.ndarray, space: np.uint64, radius: int)
         return None
 
     visit(np.flatnonzero(own), np.arange(len(fps)))
-    return forest.flat()
 
 
-def link_edges(nodes: DataFrame, n: int, radius: int) -> DataFrame:
-    """(a, b): fingerprints and the local roots they link to, over all shards."""
+def link_edges(nodes: DataFrame, n: int, radius: int, direct: bool = False) -> DataFrame:
+    """(a, b): fingerprints and the local roots they link to, over all shards; with ``direct`` pairs that are links themselves, the lesser first."""
     sample = nodes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toArrow().column(0).to_numpy().view(np.uint64)
     depth = max(0, math.ceil(math.log2(max(1, n) / LEAF)))
     masks, near_by = spaces(), reach(radius)
@@ -253,6 +284,9 @@ def link_edges(nodes: DataFrame, n: int, radius: int) -> DataFrame:
         fps = table.column("fp").to_numpy().view(np.uint64)
         own = table.column("own").to_numpy(zero_copy_only=False).astype(bool)
         space = masks[int(np.searchsorted(offsets, key[0].as_py(), side="right")) - 1]
+        if direct:
+            a, b = np.sort(fps.view(np.int64)[local_pairs(fps, own, space, radius)], axis=1).T
+            return pa.table({"a": a, "b": b})
         roots = local_links(fps, own, space, radius)
         moved = roots != np.arange(len(fps))
         return pa.table({"a": fps[moved].view(np.int64), "b": fps[roots[moved]].view(np.int64)})

@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 from kalendria.llm import near_copies, simhash
 
 
@@ -72,3 +73,64 @@ def test_one_row_of_each_group_stays(spark):
         kept = sorted(((x["doc_id"] or 0, x["tkey"]) for x in near_copies.keep_one(docs.repartition(5)).collect()))
         assert len(kept) == 3 and kept[0][0] == 0 and kept[1][0] == 1 and kept[2] == (2, "n")
         assert kept[1][1] in ("x", "z")  # of equal (id, text) the first as JSON
+
+
+def test_links_come_from_the_trees(spark, monkeypatch):
+    """Copies with few edits are linked through fingerprints and trees: bands have nothing left to join, and no pair below the bound passes."""
+    r = random.Random(21)
+    texts = []
+    for _ in range(25):
+        words = [f"w{r.randint(0, 5000)}" for _ in range(400)]
+        texts += [" ".join(words)] + [edited(r, words, 1) for _ in range(3)]
+    short = [f"s{i}" for i in range(9)]  # fingerprints of few shingles can agree where the sets do not
+    texts += [" ".join(short), " ".join([*short, "more"]), " ".join([*short[1:], "other"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    asked = []
+    found = simhash.link_edges
+    monkeypatch.setattr(simhash, "link_edges", lambda *a, **k: asked.append(a[2]) or found(*a, **k))
+    rows = near_copies.prints(docs, "text", "doc_id").cache()
+    pairs = near_copies._tree_pairs(rows.select("node", "n", "fp", "bands"), len(texts)).collect()
+    assert asked == [near_copies.RADIUS]
+    node, fp = ({x["doc_id"]: x[c] for x in rows.collect()} for c in ("node", "fp"))
+    of = {v: k for k, v in node.items()}
+    assert all(((fp[of[a]] ^ fp[of[b]]) % (1 << 64)).bit_count() <= near_copies.RADIUS for a, b in pairs)
+    sets = near_copies._sets(docs, rows.selectExpr("doc_id as _id", "tkey as _tkey"), "text", "doc_id")
+    linked = {(of[x["a"]], of[x["b"]]) for x in near_copies._links(spark.createDataFrame(pairs), sets).collect()}
+    up = list(range(len(texts)))
+    for _ in texts:
+        for a, b in linked:
+            up[a] = up[b] = min(up[a], up[b])
+    want = brute(texts)
+    assert sum(a == b for a, b in zip(up, want, strict=True)) >= 0.9 * len(texts) and all(want[a] == want[b] for a, b in linked)
+    asked.clear()
+    assert {x["doc_id"]: x["component_id"] for x in near_copies.near_copies(docs).collect()} == dict(enumerate(want))
+    assert asked == [near_copies.RADIUS]
+
+
+def test_pairs_of_the_trees_are_links_and_span(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "LEAF", 32)
+    monkeypatch.setattr(simhash, "OUTRIGHT", 256)
+    r = random.Random(5)
+    fps = [r.getrandbits(64) for _ in range(100)]
+    for _ in range(300):
+        x = r.choice(fps)
+        fps.append(x ^ sum(1 << b for b in r.sample(range(64), r.choice([1, 3, 4, 5]))))
+    signed = sorted({x - (x >> 63 << 64) for x in fps})
+    nodes = spark.createDataFrame([(x,) for x in signed], "fp long")
+    for block in (1 << 20, 64):
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        pairs = [tuple(x) for x in simhash.link_edges(nodes, len(signed), 4, direct=True).collect()]
+        assert all(a < b and ((a ^ b) % (1 << 64)).bit_count() <= 4 for a, b in pairs)
+        all_ = np.array([(a, b) for i, a in enumerate(signed) for b in signed[:i] if ((a ^ b) % (1 << 64)).bit_count() <= 4])
+        want, got = (dict(zip(*(x.tolist() for x in near_copies._least(*np.array(p).T)), strict=True)) for p in (all_, pairs))
+        assert got == want
+
+
+def test_components_in_one_task_or_in_rounds(spark, monkeypatch):
+    r = random.Random(6)
+    edges = [(i, i + 1) for i in range(40)] + [(r.randint(100, 400), r.randint(100, 400)) for _ in range(200)] + [(-5, 9), (7, 7)]
+    table = spark.createDataFrame(edges, "a long, b long").repartition(3)
+    one = sorted(map(tuple, near_copies._labels(table).collect()))
+    monkeypatch.setattr(near_copies, "ONE_TASK", 0)
+    assert one == sorted(map(tuple, near_copies._labels(table).collect())) and dict(one)[40] == -5
+    assert near_copies._labels(table.limit(0)).count() == 0
