@@ -20,8 +20,10 @@ GATE = "30 days"
 
 
 def score(priority: Column, ts: Column) -> Column:
-    """Smaller pops first: priority outweighs time."""
-    return -priority * F.lit(1e13) + F.unix_millis(ts).cast("double")
+    """Smaller pops first: priority outweighs time, in whole milliseconds, halves away from zero."""
+    t = F.unix_micros(ts)
+    millis = F.signum(t) * F.floor((F.abs(t) + 500) / 1000)
+    return -priority * F.lit(1e13) + millis.cast("double")
 
 
 def jobs(requests: DataFrame, gate: bool = True, ttl: str = GATE) -> DataFrame:
@@ -66,8 +68,8 @@ def _opened(rows: DataFrame, key: str, t: str, step: Column) -> DataFrame:
 
 
 def pop_order(queue: DataFrame) -> DataFrame:
-    """Every job's place in its tier: by score, ties by job id. A tier may hold all jobs, so places are counted over ranges."""
-    return numbered(queue, ["tier"], [F.asc("score"), F.asc("job_id")], "pop")
+    """Every job's place in its tier: by score, ties by job id, jobs without a score last. A tier may hold all jobs, so places are counted over ranges."""
+    return numbered(queue, ["tier"], [F.asc_nulls_last("score"), F.asc_nulls_last("job_id")], "pop")
 
 
 def pop(queue: DataFrame, tier: int, n: int, at: Column, lease_seconds: int = 600) -> DataFrame:
