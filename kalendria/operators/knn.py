@@ -9,6 +9,7 @@ with the square of the table.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -133,16 +134,62 @@ def self_neighbours(rows: DataFrame, k: int, min_cosine: float, n: int | None =
     return _ranked(tasks.groupBy("lo", "hi").applyInArrow(compare, "id bigint, neighbour_id bigint, cosine double"), k)
 
 
+def close_pairs(rows: DataFrame, min_cosine: float, id_col: str = "event_id", vec_col: str = "vec", planes: list[list[float]] | None = None, width: float = 1.0) -> DataFrame:
+    """(a, b, cosine, met), a < b: all pairs at ``min_cosine`` or more, exactly; ``met`` tells whether they share a bucket on one of ``planes``.
+
+    A pair of blocks is a task; its pairs leave as they are found, so a task holds two blocks and ``HELD`` cosines.
+    """
+    known = rows.filter(F.col(vec_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).dropDuplicates()
+    blocks = max(1, math.ceil(rows.count() / BLOCK))
+    dealt = known.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    tasks = paired.select(F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "vec")
+    normals = np.array(planes).T if planes else None
+
+    def compare(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lo, hi = (x.as_py() for x in key)
+        table = pa.Table.from_batches(list(batches))
+        block, ids = table.column("block").to_numpy(), table.column("id").to_numpy()
+        m = _units(_matrix(table.column("vec")))
+        bucket = None if normals is None else np.floor(np.nan_to_num(m) @ normals / width)
+        x, y = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        step = max(1, HELD // max(1, len(y)))
+        for at in range(0, len(x), step):
+            part = x[at : at + step]
+            i, j = np.nonzero(m[part] @ m[y].T >= min_cosine)  # a comparison with a missing length is not true
+            i, j = part[i], y[j]
+            up = ids[i] < ids[j]
+            i, j = (i[up], j[up]) if lo == hi else (np.where(up, i, j), np.where(up, j, i))
+            for cut in range(0, len(i), HELD >> 3):
+                a, b = i[cut : cut + (HELD >> 3)], j[cut : cut + (HELD >> 3)]
+                met = np.zeros(len(a), bool) if bucket is None else (bucket[a] == bucket[b]).any(axis=1)
+                yield pa.RecordBatch.from_pydict({"a": ids[a], "b": ids[b], "cosine": np.einsum("ij,ij->i", m[a], m[b]), "met": met})
+
+    return tasks.groupBy("lo", "hi").applyInArrow(compare, "a bigint, b bigint, cosine double, met boolean").filter("a < b")
+
+
 def lsh_pairs(rows: DataFrame, min_cosine: float, id_col: str = "event_id", vec_col: str = "vec", tables: int = 8, seed: int = 7) -> DataFrame:
     """(a, b, cosine) by random-projection hashing of unit vectors, re-ranked exactly; approximate in what it finds, exact in what it says.
 
     On unit vectors |a - b|^2 = 2 - 2 cos, so a cosine bound is a distance bound.
     """
+    return hashed_pairs(rows, min_cosine, id_col, vec_col, tables, seed).filter("met").drop("met")
+
+
+def hashed_pairs(rows: DataFrame, min_cosine: float, id_col: str = "event_id", vec_col: str = "vec", tables: int = 8, seed: int = 7) -> DataFrame:
+    """All close pairs, and whether the hashing of :func:`lsh_pairs` finds them.
+
+    Buckets as wide as twice the reach hold a large part of all rows, so a join on
+    buckets would make nearly every pair of rows, some of them eight times; pairs
+    are compared by blocks instead, and only the close ones asked for their buckets.
+    """
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
 
-    reach = math.sqrt(2 - 2 * min_cosine)
-    units = rows.select(F.col(id_col).alias("id"), vectors.unit(F.col(vec_col)).alias("u")).filter(F.col("u").isNotNull()).select("id", array_to_vector("u").alias("features"))
-    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=max(2 * reach, 0.2), numHashTables=tables, seed=seed).fit(units)
-    near = model.approxSimilarityJoin(units, units, reach + 1e-9, "d")
-    return near.filter("datasetA.id < datasetB.id").select(F.col("datasetA.id").alias("a"), F.col("datasetB.id").alias("b"), (1 - F.col("d") ** 2 / 2).alias("cosine")).distinct()
+    width = max(2 * math.sqrt(2 - 2 * min_cosine), 0.2)
+    first = rows.select(vectors.unit(F.col(vec_col)).alias("u")).filter(F.col("u").isNotNull()).limit(1).select(array_to_vector("u").alias("features"))
+    if first.isEmpty():
+        return close_pairs(rows, min_cosine, id_col, vec_col)
+    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=width, numHashTables=tables, seed=seed).fit(first)  # its planes hang on length and seed alone
+    planes = [[float(x) for x in v.toArray()] for v in model._java_obj.randUnitVectors()]
+    return close_pairs(rows, min_cosine, id_col, vec_col, planes, width)
