@@ -675,10 +675,8 @@ def lsh_pairs(spark, d):
 @query("lsh_recall", f"WITH {NEAR} SELECT count(*) AS exact, true AS enough FROM near WHERE id < n AND c >= {GREY}")
 def lsh_recall(spark, d):
     """Of the pairs that brute force finds, hashing finds nine in ten or more."""
-    rows = vecs(spark, d)
-    exact = knn.self_neighbours(rows, rows.count(), GREY).filter("id < neighbour_id").select(F.col("id").alias("a"), F.col("neighbour_id").alias("b"))
-    met = exact.join(knn.lsh_pairs(rows, GREY).select("a", "b", F.lit(1).alias("hit")), ["a", "b"], "left")
-    return met.agg(F.count(F.lit(1)).alias("exact"), (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("enough"))
+    pairs = knn.hashed_pairs(vecs(spark, d), GREY)
+    return pairs.agg(F.count(F.lit(1)).alias("exact"), (F.count_if("met") >= 0.9 * F.count(F.lit(1))).alias("enough"))
 
 
 @query("vector_norms", "SELECT label, count(*) AS n, round(avg(sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]))), 4) AS mean_norm FROM embeddings GROUP BY label")
