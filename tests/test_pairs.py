@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from kalendria.operators import catalogue, knn
+from kalendria.operators import catalogue, dedup, knn
 
 
 def vector_rows(n=300):
@@ -35,3 +35,36 @@ def test_recall_asks_one_pass_for_both_counts(spark, tmp_path):
     assert "Join" not in recall._jdf.queryExecution().optimizedPlan().toString()
     got = recall.first()
     assert (got["exact"], got["enough"]) == (knn.close_pairs(catalogue.vecs(spark, str(tmp_path)), catalogue.GREY).count(), True)
+
+
+def test_swept_blocks_in_pieces_are_the_same_as_pairs_by_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "PIECE", 3)
+    rng = np.random.default_rng(5)
+    events = [(i, f"{'AB'[i % 2]}C 2025", 7 if i % 5 else None) for i in range(40)] + [(50, None, 7), (51, "ZZ", 7)]
+    df = spark.createDataFrame(events, "event_id long, acronym string, edition_year int")
+    pairs = {(int(a), int(b)): float(c) for a, b, c in zip(rng.integers(0, 52, 90), rng.integers(0, 52, 90), rng.choice([0.3, 0.42, 0.5, 0.6], 90), strict=True) if a != b}
+    near = spark.createDataFrame([(a, b, c) for (a, b), c in pairs.items()], "a long, b long, cosine double")
+    block = {i: (a[:2], y) for i, a, y in events if a and y}
+    acronym = {(a, b) for a in block for b in block if a < b and block[a] == block[b]}
+    assert sorted(map(tuple, dedup.acronym_pairs(df).collect())) == sorted(acronym)
+    cosine = {}
+    for (a, b), c in pairs.items():
+        k = (min(a, b), max(a, b))
+        cosine[k] = max(c, cosine.get(k, -1.0))
+    every = sorted(acronym | set(cosine))
+    got = {(r["a"], r["b"]): (r["is_ann"], r["is_acronym"], r["cosine"]) for r in dedup.united(near, df).collect()}
+    assert got == {p: (p in cosine, p in acronym, cosine.get(p)) for p in every}
+    standing = spark.range(52).selectExpr("id AS event_id", "0.5D AS confidence", "timestamp_seconds(id % 17) AS scraped_at")
+    lost, want = set(), {}
+    for a, b in every:
+        winner, loser = (a, b) if (a % 17, -a) > (b % 17, -b) else (b, a)
+        c = cosine.get((a, b))
+        verdict = "skip" if a in lost or b in lost else "merge" if c and c >= 0.45 else "pending" if (c and c >= 0.4) or (a, b) in acronym else "none"
+        if verdict == "merge":
+            lost.add(loser)
+        want[a, b] = (verdict, winner, loser, c or 0.0)
+    swept = dedup.swept(near, df, standing, 0.45, 0.4)
+    rows = swept.collect()
+    assert len(rows) == len(want) and {(r["a"], r["b"]): (r["verdict"], r["winner"], r["loser"], r["cosine"]) for r in rows} == want
+    assert {v[0] for v in want.values()} == {"skip", "merge", "pending", "none"}
+    assert all((r["seq"] is not None) == (r["verdict"] == "merge") for r in rows)
