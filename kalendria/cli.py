@@ -92,10 +92,10 @@ def swept(spark: SparkSession, a: argparse.Namespace) -> None:
     every, vectors = spark.read.parquet(a.events), spark.read.parquet(a.embeddings)
     ev, at = events.live(every), F.lit(a.as_of).cast("timestamp")
     near = knn.self_neighbours(vectors.join(ev.select("event_id"), "event_id", "left_semi"), 5, 0.92)
-    pairs = dedup.united_pairs(near.select(F.col("id").alias("a"), F.col("neighbour_id").alias("b"), "cosine"), dedup.acronym_pairs(ev))
+    near = near.select(F.col("id").alias("a"), F.col("neighbour_id").alias("b"), "cosine")
     standing = ev.select("event_id", "scraped_at")
     standing = events.best_confidence(standing, spark.read.parquet(a.runs)).withColumnRenamed("best", "confidence") if a.runs else standing.withColumn("confidence", F.lit(0.0))
-    verdicts = scratch.table(dedup.sweep(scratch.table(pairs), standing))
+    verdicts = scratch.table(dedup.swept(near, ev, standing))
     dedup.sweep_report(verdicts).show()
     if a.out:
         tables = merging.swept({"events": every, "event_embeddings": vectors}, verdicts, at)
