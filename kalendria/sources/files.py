@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from datetime import date
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -59,28 +60,54 @@ def seed_events(records: DataFrame, session: str | None = None) -> DataFrame:
 YAML_EVENT = "acronym string, name string, edition_year int, official_url string, paper string, abstract string, where_raw string, start string, end string, raw_tags array<string>"
 
 
-def yaml_entries(content: str) -> list[dict]:
-    """Entries of a deadline list; a deadline is a value or has parts, and dates stay text."""
+#: Entries of deadline lists that leave a worker together.
+ENTRIES = 4096
+
+
+def yaml_items(content: str) -> Iterator:
+    """The items of a document that is a list, each made when it is asked for: the whole tree of a long list takes a hundred times its text."""
     import yaml
 
     class Plain(yaml.SafeLoader):
         pass
 
     Plain.yaml_implicit_resolvers = {k: [(t, r) for t, r in v if t != "tag:yaml.org,2002:timestamp"] for k, v in yaml.SafeLoader.yaml_implicit_resolvers.items()}
+    loader = Plain(content)
+    try:
+        loader.get_event()
+        if loader.check_event(yaml.StreamEndEvent):
+            return
+        loader.get_event()
+        if not loader.check_event(yaml.SequenceStartEvent):
+            yield from loader.construct_document(loader.compose_node(None, None)) or []
+        else:
+            top = loader.get_event()
+            if top.tag not in (None, "!", "tag:yaml.org,2002:seq"):
+                raise yaml.constructor.ConstructorError(None, None, f"a list is expected, not {top.tag}", top.start_mark)
+            while not loader.check_event(yaml.SequenceEndEvent):
+                yield loader.construct_document(loader.compose_node(None, None))
+            loader.get_event()
+        loader.get_event()
+        if not loader.check_event(yaml.StreamEndEvent):
+            raise yaml.composer.ComposerError("expected a single document", None, "but found another document", loader.get_event().start_mark)
+    finally:
+        loader.dispose()
+
+
+def yaml_entries(content: str) -> Iterator[dict]:
+    """Entries of a deadline list; a deadline is a value or has parts, and dates stay text."""
     str_of = lambda v: None if v is None else str(v)
-    out = []
-    for e in yaml.load(content, Loader=Plain) or []:
+    for e in yaml_items(content):
         if isinstance(e, dict):
             due = e.get("deadline")
             parts = due if isinstance(due, dict) else {"paper": due}
             title = str(e.get("title") or e.get("name") or "")
             year = e.get("year")
-            out.append({
+            yield {
                 "acronym": title, "name": str(e.get("full_name") or title), "edition_year": int(year) if str(year).isdigit() else None, "official_url": str(e.get("link") or e.get("website") or ""),
                 "paper": str_of(parts.get("paper")), "abstract": str_of(e.get("abstract_deadline") or parts.get("abstract")), "where_raw": str(e.get("place") or e.get("location") or ""),
                 "start": str_of(e.get("start")), "end": str_of(e.get("end")), "raw_tags": [str(e["sub"])] if e.get("sub") else [],
-            })
-    return out
+            }
 
 
 def yaml_deadlines(files: DataFrame, as_of: date) -> DataFrame:
@@ -89,7 +116,9 @@ def yaml_deadlines(files: DataFrame, as_of: date) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cols = [c.split()[0] for c in YAML_EVENT.split(", ")]
         for b in batches:
-            yield pd.DataFrame([e for v in b["value"] for e in yaml_entries(v)], columns=cols).astype({"edition_year": "Int32"})
+            found = (e for v in b["value"] for e in yaml_entries(v))
+            while some := list(islice(found, ENTRIES)):
+                yield pd.DataFrame(some, columns=cols).astype({"edition_year": "Int32"})
 
     e = files.select("value").mapInPandas(run, YAML_EVENT)
     day = {"paper_deadline": "paper", "abstract_deadline": "abstract", "start_date": "start", "end_date": "end"}
