@@ -98,9 +98,14 @@ def prolific(links: DataFrame, entity: str, least: int = 3, top: int = 20) -> Da
     return counted.orderBy(F.desc("n"), entity).limit(top)
 
 
+#: Links that make a task of their own.
+TASK_LINKS = 200_000
+
+
 def cooccurrence(links: DataFrame, entity: str, top: int = 30) -> DataFrame:
-    """Pairs of entities by the number of events that they share."""
-    one = links.select("event_id", entity).distinct()
+    """Pairs of entities by the number of events that they share. Links are dealt by event into as many tasks as their number asks for."""
+    tasks = max(int(links.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-links.count() // TASK_LINKS))
+    one = links.select("event_id", entity).repartition(tasks, "event_id").distinct()
     a, b = one.withColumnRenamed(entity, "a"), one.withColumnRenamed(entity, "b")
     pairs = a.join(b, "event_id").filter(F.col("a") < F.col("b"))
     return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "a", "b").limit(top)
